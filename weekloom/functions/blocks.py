@@ -29,4 +29,7 @@ def grid(df: DataFrame, key: str, block_rows: int = BLOCK_ROWS) -> tuple[DataFra
     right = placed.withColumn("cell_j", F.col("_block")).withColumn(
         "cell_i", F.explode(F.sequence(F.lit(0), F.col("_block")))
     )
-    return left.drop("_block", "_blocks"), right.drop("_block", "_blocks")
+    # new column identities on the right side, so that both sides can meet in one plan
+    return left.drop("_block", "_blocks"), right.select(
+        *[F.col(c).alias(c) for c in (*df.columns, "cell_i", "cell_j")]
+    )

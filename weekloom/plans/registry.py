@@ -82,7 +82,7 @@ def _labels(s: SparkSession, d: str) -> DataFrame:
 
 
 def _report(s: SparkSession, d: str) -> DataFrame:
-    panel = tables.region_panel(s, d, total=False)
+    panel = tables.region_panel(s, d, only=ONE_SERIES)
     return sqlpack.series_report(transform.fact(panel), ONE_SERIES)
 
 
@@ -121,7 +121,7 @@ def queries() -> dict[str, Query]:
     return {
         # sources and quality
         "src_dispatch": _src_dispatch,
-        "etl_load_stats": lambda s, d: load_stats(tables.table(s, d, "lineitem")),
+        "etl_load_stats": lambda s, d: load_stats(read_any(s, f"{d}/lineitem.parquet")),
         "etl_wide_pivot": _wide,
         "etl_stats": _over(_feed, quality.etl_stats),
         "dq_null_pct": _over(_feed, quality.null_pct),

@@ -1,9 +1,8 @@
 """Index panels from transaction tables.
 
-Lines are joined to their dimension and summed to one row per series and week before any
-window runs. Only the line table and its key-equal partner are shuffled, with three narrow
-columns; no broadcast hint is given, so Spark broadcasts a side only below its size threshold
-and adaptive execution splits a hot join key.
+Lines are joined to their dimension and summed to one row per dimension key and week before any
+window runs; names are attached to the sums. Only the line table and its key-equal partner are
+shuffled, with three and two narrow columns, and adaptive execution splits a hot join key.
 """
 
 from __future__ import annotations
@@ -16,9 +15,38 @@ from ..functions.calendar import week_ending
 TOTAL = "TOTAL"
 BASELINE_YEAR = 1996
 
+# Columns the panels read. A declared schema spares the job that opens files to infer one.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey bigint, p_type string",
+}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
+
+def scan_bytes(df: DataFrame) -> int:
+    """Size the optimizer knows for a scan: its files, less the columns not read."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def broadcast_within(df: DataFrame, bound: DataFrame) -> DataFrame:
+    """Broadcast ``df`` if the scan that bounds its size is below Spark's broadcast threshold.
+
+    ``df`` joins the scan to its parents by key and so has no more rows than it; Spark itself would
+    multiply the estimates. Above the threshold the join stays a shuffle join."""
+    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    number = int(limit[:-1]) if limit[-1:].lower() == "b" else int(limit)
+    return F.broadcast(df) if scan_bytes(bound) <= number else df
+
+
+def _weekly(joined: DataFrame, key: str) -> DataFrame:
+    return joined.groupBy(key, "week_ending").agg(F.sum("l_quantity").alias("qty"))
 
 
 def _lines(spark: SparkSession, folder: str, key: str) -> DataFrame:
@@ -27,30 +55,32 @@ def _lines(spark: SparkSession, folder: str, key: str) -> DataFrame:
     )
 
 
-def _weekly(joined: DataFrame, series: str) -> DataFrame:
-    return joined.groupBy(F.col(series).alias("series"), "week_ending").agg(
-        F.sum("l_quantity").alias("qty")
-    )
-
-
-def region_weekly(spark: SparkSession, folder: str) -> DataFrame:
-    """Quantity per nation and week."""
-    nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
+def region_weekly(spark: SparkSession, folder: str, only: str | None = None) -> DataFrame:
+    """Quantity per nation and week; with ``only``, for one nation, whose customers and orders are
+    selected before the lines are joined."""
+    nation = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("series"))
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    at_home = F.col("c_nationkey") == F.col("n_nationkey")
+    if only is not None:
+        nation = nation.where(F.col("series") == only)
+        customer = customer.join(nation.select("n_nationkey"), at_home, "left_semi")
     owner = orders.join(
-        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")),
-        F.col("o_custkey") == F.col("c_custkey"),
-    ).select("o_orderkey", "n_name")
-    lines = _lines(spark, folder, "l_orderkey")
-    return _weekly(lines.join(owner, F.col("l_orderkey") == F.col("o_orderkey")), "n_name")
+        broadcast_within(customer, customer), F.col("o_custkey") == F.col("c_custkey")
+    ).select("o_orderkey", "c_nationkey")
+    lines = _lines(spark, folder, "l_orderkey").join(
+        broadcast_within(owner, orders), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    return _weekly(lines, "c_nationkey").join(nation, at_home).select("series", "week_ending", "qty")
 
 
 def site_weekly(spark: SparkSession, folder: str) -> DataFrame:
     """Quantity per part type and week."""
-    part = table(spark, folder, "part").select("p_partkey", "p_type")
-    lines = _lines(spark, folder, "l_partkey")
-    return _weekly(lines.join(part, F.col("l_partkey") == F.col("p_partkey")), "p_type")
+    part = table(spark, folder, "part").select("p_partkey", F.col("p_type").alias("series"))
+    lines = _lines(spark, folder, "l_partkey").join(
+        broadcast_within(part, part), F.col("l_partkey") == F.col("p_partkey")
+    )
+    return _weekly(lines, "series")
 
 
 def with_total(weekly: DataFrame, total: str = TOTAL) -> DataFrame:
@@ -72,10 +102,12 @@ def to_index(weekly: DataFrame, baseline_year: int = BASELINE_YEAR) -> DataFrame
     )
 
 
-def region_panel(spark: SparkSession, folder: str, total: bool = True) -> DataFrame:
+def region_panel(
+    spark: SparkSession, folder: str, total: bool = True, only: str | None = None
+) -> DataFrame:
     """Panel ``series, week_ending, qty, idx`` by nation, with the total series unless told not to."""
-    weekly = region_weekly(spark, folder)
-    return to_index(with_total(weekly) if total else weekly)
+    weekly = region_weekly(spark, folder, only)
+    return to_index(with_total(weekly) if total and only is None else weekly)
 
 
 def site_panel(spark: SparkSession, folder: str) -> DataFrame:
