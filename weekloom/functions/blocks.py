@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 1024
 
 
-def grid(df: DataFrame, key: str, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Rows as left and right members of the upper-triangular cells ``(cell_i, cell_j)``."""
-    # counting through a value column keeps the plan below equal to the main one, so that its
-    # exchange is reused instead of scanning the source again
-    value = next(c for c in df.columns if c != key)
-    seen = F.count(F.when(F.col(key).isNotNull() | F.col(value).isNotNull(), 1))
+def grid(
+    df: DataFrame, key: str, counted: str, block_rows: int = BLOCK_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Rows as left and right members of the upper-triangular cells ``(cell_i, cell_j)``.
+
+    The number of blocks comes from the rows with a ``counted`` value. Counting a computed column
+    keeps the plan below equal to the main one, so that its exchange is reused instead of the
+    source being scanned again."""
+    seen = F.count(F.col(counted))
     n_blocks = df.agg(F.greatest(F.ceil(seen / F.lit(block_rows)), F.lit(1)).cast("int")).scalar()
     placed = df.withColumn("_blocks", n_blocks).withColumn(
         "_block", F.pmod(F.xxhash64(key), F.col("_blocks")).cast("int")

@@ -16,23 +16,19 @@ def week_ending(col: Column | str) -> Column:
     return F.date_add(F.trunc(day, "week"), 6)
 
 
-def season(month: Column) -> Column:
-    out = F.lit(None).cast("string")
-    for name, months in SEASONS.items():
-        out = F.when(month.isin(*months), F.lit(name)).otherwise(out)
-    return out
+def _in(values: tuple[int, ...]) -> str:
+    return f"in ({', '.join(map(str, values))})"
 
 
 def calendar(df: DataFrame, col: str = "week_ending") -> DataFrame:
     """Add calendar year, month, ISO week number, quarter, season and the holiday flag."""
-    day = F.col(col)
-    return df.withColumns(
-        {
-            "year": F.year(day).cast("bigint"),
-            "month": F.month(day).cast("bigint"),
-            "week_number": F.weekofyear(day).cast("bigint"),
-            "quarter": F.quarter(day).cast("bigint"),
-            "season": season(F.month(day)),
-            "is_holiday_week": F.weekofyear(day).isin(*HOLIDAY_WEEKS),
-        }
+    seasons = " ".join(f"when month({col}) {_in(m)} then '{name}'" for name, m in SEASONS.items())
+    return df.selectExpr(
+        "*",
+        f"cast(year({col}) as bigint) as year",
+        f"cast(month({col}) as bigint) as month",
+        f"cast(weekofyear({col}) as bigint) as week_number",
+        f"cast(quarter({col}) as bigint) as quarter",
+        f"case {seasons} end as season",
+        f"weekofyear({col}) {_in(HOLIDAY_WEEKS)} as is_holiday_week",
     )

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 def rnd(col: Column | str, digits: int) -> Column:
     """Half-even rounding of the scaled double, as numpy does; ``+ 0.0`` turns -0.0 into 0.0."""
     col = F.col(col) if isinstance(col, str) else col
-    scale = F.lit(float(10**digits))
-    return F.rint(col.cast("double") * scale) / scale + F.lit(0.0)
+    scale = float(10**digits)
+    return F.rint(col * scale) / scale + 0.0
 
 
 def by_week(descending: bool = False, key: str = "series") -> WindowSpec:

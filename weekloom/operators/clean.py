@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import by_week
 from ..sources.feed import SERIAL_ORIGIN
 from ..sources.tables import week_bounds
 
@@ -56,21 +55,17 @@ def densify(df: DataFrame, bounds: Column, value: str) -> DataFrame:
 
     Each row also emits the missing weeks up to its successor (the first row those before it,
     the last those after it), so neither a calendar cross join nor a lookup join is needed."""
-    w = by_week()
-    week, step = F.col("week_ending"), F.lit(7)
-    after = F.lead("week_ending").over(w)
-    spans = df.withColumns({"_b": bounds, "_prev": F.lag("week_ending").over(w), "_next": after})
-    back = F.when(F.col("_prev").isNull(), F.floor(F.datediff(week, F.col("_b.lo")) / step)).otherwise(0)
-    ahead = F.when(
-        F.col("_next").isNull(), F.floor(F.datediff(F.col("_b.hi"), week) / step)
-    ).otherwise(F.floor(F.datediff(F.col("_next"), week) / step) - 1)
-    offset = F.explode(
-        F.sequence(-F.greatest(back, F.lit(0)).cast("int"), F.greatest(ahead, F.lit(0)).cast("int"))
+    over = "over (partition by series order by week_ending)"
+    spans = df.withColumn("_b", bounds).selectExpr(
+        "*", f"lag(week_ending) {over} as _prev", f"lead(week_ending) {over} as _next"
     )
-    return spans.select("series", "week_ending", value, offset.alias("_k")).select(
+    back = "if(_prev is null, datediff(week_ending, _b.lo) div 7, 0)"
+    ahead = "if(_next is null, datediff(_b.hi, week_ending) div 7, datediff(_next, week_ending) div 7 - 1)"
+    offsets = f"sequence(-cast(greatest({back}, 0) as int), cast(greatest({ahead}, 0) as int))"
+    return spans.selectExpr("series", "week_ending", value, f"explode({offsets}) as _k").selectExpr(
         "series",
-        F.date_add(week, F.col("_k") * 7).alias("week_ending"),
-        F.when(F.col("_k") == 0, F.col(value)).alias(value),
+        "date_add(week_ending, _k * 7) as week_ending",
+        f"if(_k = 0, {value}, null) as {value}",
     )
 
 
@@ -85,22 +80,18 @@ def interpolate(
 
     Both neighbours come from running frames (one in each sort direction), so the cost per series
     is linear."""
-    asc = Window.partitionBy(by).orderBy(F.col(order).asc())
-    desc = Window.partitionBy(by).orderBy(F.col(order).desc())
-    upto = (Window.unboundedPreceding, 0)
-    known = F.when(F.col(value).isNotNull(), F.struct(F.col("_x").alias("x"), F.col(value).alias("v")))
-    near = df.withColumn("_x", F.row_number().over(asc).cast("double")).withColumn("_k", known)
-    near = near.withColumn("_p", F.last("_k", ignorenulls=True).over(asc.rowsBetween(*upto)))
-    near = near.withColumn("_n", F.last("_k", ignorenulls=True).over(desc.rowsBetween(*upto)))
-    p, n = F.col("_p"), F.col("_n")
-    between = p.v + (n.v - p.v) * ((F.col("_x") - p.x) / (n.x - p.x))
+    over, upto = f"over (partition by {by} order by {order}", "rows unbounded preceding)"
+    known = f"if({value} is null, null, struct(_x as x, {value} as v))"
+    keep = df.columns
+    near = df.selectExpr("*", f"cast(row_number() {over}) as double) as _x")
+    near = near.selectExpr("*", f"last({known}, true) {over} asc {upto} as _p")
+    near = near.selectExpr("*", f"last({known}, true) {over} desc {upto} as _n")
+    between = "_p.v + (_n.v - _p.v) * ((_x - _p.x) / (_n.x - _p.x))"
     filled = (
-        F.when(F.col(value).isNotNull(), F.col(value))
-        .when(p.isNull(), n.v)
-        .when(n.isNull(), p.v)
-        .otherwise(between)
+        f"case when {value} is not null then {value} when _p is null then _n.v "
+        f"when _n is null then _p.v else {between} end"
     )
-    return near.withColumn(out, filled).drop("_x", "_k", "_p", "_n")
+    return near.selectExpr(*keep, f"{filled} as {out}")
 
 
 def clean_feed(raw: DataFrame) -> DataFrame:
@@ -111,8 +102,13 @@ def clean_feed(raw: DataFrame) -> DataFrame:
         ["series", "week_ending"],
         ["ingest_seq"],
     )
-    seen = F.when(F.col("ingest_seq").isNotNull(), F.col("week_ending"))
-    bounds = rows.agg(F.struct(F.min(seen).alias("lo"), F.max(seen).alias("hi"))).scalar()
+    # the value rides along so that this plan needs the same columns as the main one and shares
+    # its exchange
+    seen = F.struct("week_ending", "value")
+    ends = rows.agg(F.min(seen).alias("lo"), F.max(seen).alias("hi"))
+    bounds = ends.select(
+        F.struct(F.col("lo.week_ending").alias("lo"), F.col("hi.week_ending").alias("hi"))
+    ).scalar()
     return interpolate(densify(kept, bounds, "value"))
 
 

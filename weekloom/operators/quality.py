@@ -75,50 +75,59 @@ def bad_dates(raw: DataFrame) -> DataFrame:
     return raw.groupBy("series").agg(bad.alias("n_bad_date"))
 
 
-def dq_log(raw: DataFrame) -> DataFrame:
+# Checks of the log with their texts, in the order they are reported.
+LOG_CHECKS = {
+    "null": "missing values",
+    "range": "values outside [50, 200]",
+    "type": "values that are no number",
+    "serial_date": "weeks given as serials",
+    "bad_date": "weeks set aside",
+    "duplicate": "repeated weeks",
+}
+
+
+def dq_log(raw: DataFrame, slack_days: int = SLACK_DAYS) -> DataFrame:
     """All issues as ``check, series, detail, n``, zero counts left out.
 
-    The per-series checks share one aggregation over the feed; gaps and duplicates need the
-    parsed weeks and share a second one."""
-    v = to_number("value_raw")
-    text = F.col("value_raw")
-    per_series = raw.groupBy("series").agg(
+    The feed is counted once per series and week; series totals and week gaps both come from those
+    counts in the same pass."""
+    t = typed(raw)
+    v, text, week = F.col("value"), F.col("value_raw"), F.col("week_ending")
+    per_week = t.groupBy("series", "week_ending").agg(
+        F.count(F.lit(1)).alias("n"),
         F.count_if(text.isNull()).alias("null"),
         F.count_if((v < INDEX_MIN) | (v > INDEX_MAX)).alias("range"),
         F.count_if(text.isNotNull() & v.isNull()).alias("type"),
         F.count_if(is_serial("week_raw")).alias("serial_date"),
-        F.count_if(parse_week("week_raw").isNull()).alias("bad_date"),
     )
-    checks = {
-        "null": "missing values",
-        "range": "values outside [50, 200]",
-        "type": "values that are no number",
-        "serial_date": "weeks given as serials",
-        "bad_date": "weeks set aside",
-    }
-    rows = F.array(
+    per_week = per_week.withColumns(
+        {
+            "bad_date": F.when(week.isNull(), F.col("n")).otherwise(0),
+            "duplicate": F.when(week.isNotNull(), F.col("n") - 1).otherwise(0),
+            "_from": F.lag("week_ending").over(by_week()),
+        }
+    )
+    days = F.datediff("week_ending", "_from")
+    iso = "yyyy-MM-dd"
+    gap = F.struct(
+        F.lit("gap").alias("check"),
+        F.concat_ws(" to ", F.date_format("_from", iso), F.date_format("week_ending", iso)).alias("detail"),
+        (F.floor(days / 7) - 1).cast("bigint").alias("n"),
+    )
+    per_series = per_week.groupBy("series").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in LOG_CHECKS],
+        F.collect_list(F.when(days > slack_days, gap)).alias("gaps"),
+    )
+    counts = F.array(
         *[
             F.struct(F.lit(c).alias("check"), F.lit(d).alias("detail"), F.col(c).alias("n"))
-            for c, d in checks.items()
+            for c, d in LOG_CHECKS.items()
         ]
     )
-    counted = per_series.select("series", F.explode(rows).alias("r")).select(
+    issues = F.concat(F.filter(counts, lambda r: r.n > 0), F.col("gaps"))
+    return per_series.select("series", F.explode(issues).alias("r")).select(
         "r.check", "series", "r.detail", "r.n"
     )
-    dup = duplicates(raw).select(
-        F.lit("duplicate").alias("check"), "series", F.lit("repeated weeks").alias("detail"),
-        F.col("n_dup").alias("n"),
-    )
-    gap = date_gaps(raw).select(
-        F.lit("gap").alias("check"),
-        "series",
-        F.concat_ws(
-            " to ", F.date_format("from_week", "yyyy-MM-dd"), F.date_format("to_week", "yyyy-MM-dd")
-        ).alias("detail"),
-        F.col("missing").alias("n"),
-    )
-    counted = counted.unionByName(dup).where(F.col("n") > 0)
-    return counted.unionByName(gap)
 
 
 def etl_stats(raw: DataFrame) -> DataFrame:

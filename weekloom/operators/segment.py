@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pandas as pd
@@ -84,59 +83,89 @@ def normalise(feats: DataFrame) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write a small result to the checkpoint folder, so that iterations read it back instead of
-    the source and the loss of an executor costs nothing. The cluster names the folder."""
+    """Write a small result as a table under the checkpoint folder the cluster names and read it back,
+    so that iterations do not return to the source and the loss of an executor costs nothing."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="weekloom-"))
-    return df.checkpoint(eager=True)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weekloom-")
+    path = f"{folder}/weekloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def _nearest(centroids: np.ndarray) -> Column:
-    """Index of the nearest centroid, the first among equals."""
-    distances = F.array(
-        *[
-            F.sqrt(reduce(add, [(F.col(z(f)) - F.lit(float(x))) ** 2 for f, x in zip(FEATURES, c)]))
-            for c in centroids
-        ]
-    )
-    return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
+POINT = f"array({', '.join(z(f) for f in FEATURES)})"
+
+
+def _nearest(centroids: np.ndarray) -> str:
+    """SQL for the index of the centroid nearest to the array ``p``, the first among equals. Centroids
+    enter as one array constant, so every iteration runs the same compiled code."""
+    rows = ", ".join("array(" + ", ".join(f"{float(x)!r}D" for x in c) + ")" for c in centroids)
+    squares = "zip_with(p, c, (x, y) -> (x - y) * (x - y))"
+    far = f"sqrt(aggregate({squares}, 0D, (s, x) -> s + x))"
+    return f"array_min(transform(array({rows}), (c, i) -> struct({far} as far, i as i))).i"
 
 
 def lloyd(
-    points: DataFrame, ks: Sequence[int], seeds: Mapping[int, Sequence[str]], max_iter: int = 100
+    points: DataFrame, start: Mapping[int, np.ndarray], max_iter: int = 100
 ) -> dict[int, Column]:
-    """Run k-means for all ``ks`` in the same jobs; returns the label expression per k.
-
-    A pass aggregates k * 8 sums with map-side combine; only the centroids come back. An empty
-    cluster keeps its centroid. Labels belong to the centroids before the last, immaterial move."""
-    names = sorted({s for k in ks for s in seeds[k]})
-    rows = points.where(F.col("series").isin(names)).select("series", *[z(f) for f in FEATURES])
-    at = {r["series"]: [r[z(f)] for f in FEATURES] for r in rows.collect()}
-    centroids = {k: np.array([at[s] for s in seeds[k]]) for k in ks}
-    moving = set(ks)
+    """Run k-means from the start centroids of every k in the same jobs; returns the label per k.
+
+    ``points`` has the coordinates in an array ``p``. A pass aggregates k * 8 means with map-side
+    combine; only the centroids come back. An empty cluster keeps its centroid. Labels belong to the
+    centroids before the last, immaterial move."""
+    centroids = {k: np.array(c, dtype=float) for k, c in start.items()}
+    moving = set(centroids)
+    dims = [f"avg(p[{i}]) as x{i}" for i in range(len(FEATURES))]
     for _ in range(max_iter):
         if not moving:
             break
-        labels = F.array(
-            *[F.struct(F.lit(k).alias("k"), _nearest(centroids[k]).alias("c")) for k in sorted(moving)]
-        )
+        labels = ", ".join(f"struct({k} as k, {_nearest(centroids[k])} as c)" for k in sorted(moving))
         means = (
-            points.select(F.explode(labels).alias("l"), *[z(f) for f in FEATURES])
+            points.selectExpr(f"explode(array({labels})) as l", "p")
             .groupBy("l.k", "l.c")
-            .agg(*[F.avg(z(f)).alias(z(f)) for f in FEATURES])
+            .agg(*map(F.expr, dims))
             .collect()
         )
         moved = {k: centroids[k].copy() for k in moving}
         for r in means:
-            moved[r["k"]][r["c"]] = [r[z(f)] for f in FEATURES]
+            moved[r["k"]][r["c"]] = [r[f"x{i}"] for i in range(len(FEATURES))]
         for k in list(moving):
             if np.allclose(centroids[k], moved[k]):
                 moving.discard(k)
             else:
                 centroids[k] = moved[k]
-    return {k: _nearest(centroids[k]) for k in ks}
+    return {k: F.expr(_nearest(c)) for k, c in centroids.items()}
+
+
+def start_centroids(
+    points: DataFrame, ks: Sequence[int], seeds: Mapping[int, Sequence[str]] | None = None
+) -> dict[int, np.ndarray]:
+    """Start centroids for every k below the number of points: the given series, or the first k in
+    the order of a hash of the key, which is random but the same on every run."""
+    rows = points.select("series", "p")
+    if seeds is None:
+        rows = rows.orderBy(F.md5("series"), "series").limit(max(ks) + 1)
+    else:
+        rows = rows.where(F.col("series").isin(sorted({s for k in ks for s in seeds[k]})))
+    found = rows.collect()
+    at = {r["series"]: r["p"] for r in found}
+    if seeds is not None:
+        return {k: np.array([at[s] for s in seeds[k]]) for k in ks}
+    return {k: np.array(list(at.values())[:k]) for k in ks if k < len(found)}
+
+
+def fit_clusters(
+    norm: DataFrame,
+    ks: Sequence[int] = (2, 3, 4),
+    seeds: Mapping[int, Sequence[str]] | None = None,
+    max_iter: int = 100,
+) -> tuple[DataFrame, Sequence[int]]:
+    """Stored points with a label column ``k<k>`` for each usable k (k below the point count)."""
+    points = checkpointed(norm).withColumn("p", F.expr(POINT))
+    start = start_centroids(points, ks, seeds)
+    if not start:
+        raise ValueError("clustering needs more series than clusters")
+    labels = lloyd(points, start, max_iter)
+    return points.withColumns({f"k{k}": c for k, c in labels.items()}), sorted(labels)
 
 
 def _cell_distances(ks: Sequence[int]):
@@ -178,11 +207,11 @@ def _cell_distances(ks: Sequence[int]):
 def silhouette(labelled: DataFrame, ks: Sequence[int], block_rows: int = 512) -> DataFrame:
     """Exact mean Euclidean silhouette per k, as ``k, score``.
 
-    ``labelled`` has ``series``, the z columns and a label column ``k<k>`` per k. Distances are
+    ``labelled`` has ``series``, coordinates ``p`` and a label column ``k<k>`` per k. Distances are
     computed inside the cells of the block grid and leave a task as sums per point and cluster, so
     pairs are never rows. Copies of a point do not count as its neighbours."""
-    points = labelled.select("series", F.array(*[z(f) for f in FEATURES]).alias("p"), *[f"k{k}" for k in ks])
-    left, right = grid(points, "series", block_rows)
+    points = labelled.select("series", "p", *[f"k{k}" for k in ks])
+    left, right = grid(points, "series", "p", block_rows)
     cells = left.groupBy("cell_i", "cell_j").cogroup(right.groupBy("cell_i", "cell_j"))
     sums = cells.applyInPandas(
         _cell_distances(ks),
@@ -203,29 +232,6 @@ def silhouette(labelled: DataFrame, ks: Sequence[int], block_rows: int = 512) ->
     return ab.groupBy("k").agg(F.coalesce(F.avg(score), F.lit(-1.0)).alias("score"))
 
 
-def hash_seeds(points: DataFrame, ks: Sequence[int]) -> dict[int, list[str]]:
-    """Random but repeatable seed series: the first k in the order of a hash of the key."""
-    rows = points.select("series", F.md5("series").alias("h")).orderBy("h").limit(max(ks)).collect()
-    order = [r["series"] for r in rows]
-    return {k: order[:k] for k in ks if len(order) >= k}
-
-
-def fit_clusters(
-    norm: DataFrame,
-    ks: Sequence[int] = (2, 3, 4),
-    seeds: Mapping[int, Sequence[str]] | None = None,
-    max_iter: int = 100,
-) -> tuple[DataFrame, Sequence[int]]:
-    """Checkpointed points with a label column ``k<k>`` for each usable k (k below the point count)."""
-    points = checkpointed(norm)
-    found = len(points.select("series").limit(max(ks) + 1).collect())
-    usable = [k for k in ks if k < found]
-    if not usable:
-        raise ValueError("clustering needs more series than clusters")
-    labels = lloyd(points, usable, seeds or hash_seeds(points, usable), max_iter)
-    return points.withColumns({f"k{k}": c for k, c in labels.items()}), usable
-
-
 def best_k(scores: DataFrame) -> int:
     """The k with the highest silhouette; the smaller one among equals."""
     rows = sorted(scores.collect(), key=lambda r: r["k"])

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.blocks import grid
+from ..functions.blocks import BLOCK_ROWS, grid
 from ..functions.calendar import calendar
 from ..functions.numeric import by_week, position, rnd
 from ..functions.ranking import with_position
@@ -243,7 +243,7 @@ def _pair_correlations(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _upper(panel: DataFrame, block_rows: int | None) -> DataFrame:
+def _upper(panel: DataFrame, block_rows: int) -> DataFrame:
     week = (F.datediff("week_ending", F.lit("1970-01-04").cast("date")) / 7).cast("int")
     vectors = (
         panel.where(F.col("idx").isNotNull())
@@ -252,13 +252,13 @@ def _upper(panel: DataFrame, block_rows: int | None) -> DataFrame:
         .agg(F.collect_list("p").alias("p"))
         .select("series", F.col("p.w").alias("weeks"), F.col("p.v").alias("vals"))
     )
-    left, right = grid(vectors, "series", **({"block_rows": block_rows} if block_rows else {}))
+    left, right = grid(vectors, "series", "vals", block_rows)
     pairs = left.groupBy("cell_i", "cell_j").cogroup(right.groupBy("cell_i", "cell_j"))
     out = pairs.applyInPandas(_pair_correlations, "a string, b string, r double")
     return out.withColumn("r", rnd("r", 3))
 
 
-def correlation(panel: DataFrame, block_rows: int | None = None) -> DataFrame:
+def correlation(panel: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Full Pearson matrix as rows ``a, b, r``. The result itself has a row per pair; the weeks
     behind a pair are never multiplied out, a task works on two blocks of series."""
     upper = _upper(panel, block_rows)
@@ -268,12 +268,12 @@ def correlation(panel: DataFrame, block_rows: int | None = None) -> DataFrame:
     return upper.select(F.explode(both).alias("k"), "r").select("k.a", "k.b", "r")
 
 
-def correlation_lower(panel: DataFrame, block_rows: int | None = None) -> DataFrame:
+def correlation_lower(panel: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Lower triangle with the diagonal, as drawn in a heat map."""
     return _upper(panel, block_rows).select(F.col("b").alias("a"), F.col("a").alias("b"), "r")
 
 
-def corr_extremes(panel: DataFrame, block_rows: int | None = None) -> DataFrame:
+def corr_extremes(panel: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Most and least correlated pair on the rounded value; first pair by name for the least, last
     for the most, as a stable sort leaves them."""
     pairs = _upper(panel, block_rows).where("a < b")
@@ -330,7 +330,7 @@ def site_profile(site: DataFrame) -> DataFrame:
     )
 
 
-def _welch(site: DataFrame, block_rows: int | None) -> DataFrame:
+def _welch(site: DataFrame, block_rows: int) -> DataFrame:
     """Welch statistic per pair from the moments of each series, paired through the block grid."""
     moments = site.groupBy("series").agg(
         F.count("idx").cast("double").alias("n"),
@@ -338,11 +338,10 @@ def _welch(site: DataFrame, block_rows: int | None) -> DataFrame:
         F.var_samp("idx").alias("vs"),
         F.var_pop("idx").alias("vp"),
     )
-    packed = moments.select("series", F.struct("series", "n", "m", "vs", "vp").alias("s"))
-    left, right = grid(packed, "series", **({"block_rows": block_rows} if block_rows else {}))
-    cells = ["cell_i", "cell_j"]
-    pairs = left.select(*cells, F.col("s").alias("l")).join(
-        right.select(*cells, F.col("s").alias("r")), cells
+    left, right = grid(moments, "series", "m", block_rows)
+    cells, packed = ["cell_i", "cell_j"], F.struct("series", "n", "m", "vs", "vp")
+    pairs = left.select(*cells, packed.alias("l")).join(
+        right.select(*cells, packed.alias("r")), cells
     )
     pairs = pairs.where((F.col("cell_i") < F.col("cell_j")) | (F.col("l.series") < F.col("r.series")))
     ordered = F.col("l.series") < F.col("r.series")
@@ -365,14 +364,14 @@ def _welch(site: DataFrame, block_rows: int | None) -> DataFrame:
     )
 
 
-def welch(site: DataFrame, block_rows: int | None = None) -> DataFrame:
+def welch(site: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Welch t, degrees of freedom and Cohen's d for every pair of site types."""
     return _welch(site, block_rows).select(
         "a", "b", rnd("t", 3).alias("t_stat"), rnd("df", 3).alias("df"), rnd("d", 3).alias("cohens_d")
     )
 
 
-def welch_p(site: DataFrame, block_rows: int | None = None) -> DataFrame:
+def welch_p(site: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Two-sided p-value of the Welch test and whether it is below 0.05."""
     p = t_two_sided(F.col("t"), F.col("df"))
     return _welch(site, block_rows).select(

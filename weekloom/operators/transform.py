@@ -44,9 +44,9 @@ def total_by_week(df: DataFrame, total: str = TOTAL) -> DataFrame:
 def with_total_idx(df: DataFrame, total: str = TOTAL) -> DataFrame:
     """The other series with the total's value of the same week (null where it has none)."""
     rest = df.where(F.col("series") != total)
-    return rest.join(
-        total_by_week(df, total), F.col("week_ending") == F.col("_week"), "left"
-    ).drop("_week")
+    # one row per week of the calendar, so its size does not depend on the data volume
+    lookup = F.broadcast(total_by_week(df, total))
+    return rest.join(lookup, F.col("week_ending") == F.col("_week"), "left").drop("_week")
 
 
 def vs_total(df: DataFrame, total: str = TOTAL) -> DataFrame:
