@@ -94,14 +94,16 @@ def interpolate(
     return near.selectExpr(*keep, f"{filled} as {out}")
 
 
-def clean_feed(raw: DataFrame) -> DataFrame:
-    """Parse, set unreadable dates aside, keep the first copy, densify, interpolate."""
+def clean_feed(raw: DataFrame, fill_weeks: bool = True) -> DataFrame:
+    """Parse, set unreadable dates aside, keep the first copy, densify (if asked), interpolate."""
     rows = typed(raw).where(F.col("week_ending").isNotNull())
     kept = dedupe_first(
         rows.select("series", "week_ending", "value", "ingest_seq"),
         ["series", "week_ending"],
         ["ingest_seq"],
     )
+    if not fill_weeks:
+        return interpolate(kept.select("series", "week_ending", "value"))
     # the value rides along so that this plan needs the same columns as the main one and shares
     # its exchange
     seen = F.struct("week_ending", "value")

@@ -130,7 +130,7 @@ def dq_log(raw: DataFrame, slack_days: int = SLACK_DAYS) -> DataFrame:
     )
 
 
-def etl_stats(raw: DataFrame) -> DataFrame:
+def etl_stats(raw: DataFrame, fill_weeks: bool = True) -> DataFrame:
     """Counters of one run: rows in and out, values filled, values flagged, copies removed."""
     t = typed(raw)
     v, week = F.col("value"), F.col("week_ending")
@@ -145,7 +145,7 @@ def etl_stats(raw: DataFrame) -> DataFrame:
         F.sum(dup).cast("bigint").alias("duplicates_removed"),
     )
     filled = F.count_if(F.col("value").isNull() & F.col("value_filled").isNotNull())
-    done = clean_feed(raw).agg(
+    done = clean_feed(raw, fill_weeks).agg(
         F.struct(F.count(F.lit(1)).alias("rows_final"), filled.alias("nulls_filled"))
     )
     return intake.withColumn("_d", done.scalar()).select(
