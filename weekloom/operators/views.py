@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import by_week, rnd
-from ..functions.ranking import with_position
 from ..sources.tables import TOTAL
 from .transform import rolling
 
@@ -39,9 +38,12 @@ def site_lines(site: DataFrame) -> DataFrame:
     )
 
 
-def ranking_bars(ranked: DataFrame) -> DataFrame:
-    """Composite scores as bars, lowest first: the best, the bottom three, the rest."""
-    bars = with_position(ranked.select("series", "rank", "composite"), "rank", "series", "bar")
+def ranking_bars(ranked: DataFrame, panel: DataFrame) -> DataFrame:
+    """Composite scores as bars, lowest first: the best, the bottom three, the rest. Ranks are unique,
+    so the bar is counted from the other end."""
+    per = panel.groupBy("series").agg(F.max("idx").alias("v"))
+    bars = ranked.select("series", "rank", "composite").withColumn("_n", per.agg(F.count("v")).scalar())
+    bars = bars.withColumn("bar", F.col("_n") + 1 - F.col("rank"))
     group = (
         F.when(F.col("rank") == 1, "best").when(F.col("bar") <= 3, "bottom").otherwise("rest")
     )

@@ -231,7 +231,7 @@ def queries() -> dict[str, Query]:
         "ch_month_heatmap": _over(_clean, views.month_heatmap),
         "ch_trends": _over(_clean, views.trends),
         "ch_site": _over(_site, views.site_lines),
-        "ch_ranking": _over(_clean, lambda p: views.ranking_bars(stats.ranking(p))),
+        "ch_ranking": _over(_clean, lambda p: views.ranking_bars(stats.ranking(p), p)),
         "ch_corr_lower": _over(_clean, stats.correlation_lower),
         "ch_forecast": _forecast_chart,
         "ch_anomaly_picks": _over(_clean, lambda p: views.anomaly_picks(stats.anomalies(p))),
