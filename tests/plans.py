@@ -27,3 +27,15 @@ def final_part(plan: str) -> str:
 def scans(plan: str, table: str) -> int:
     """How often a table's files are read; reused exchanges do not count."""
     return len(re.findall(rf"FileScan \w+ .*?/{table}\.parquet", final_part(plan)))
+
+
+def rows_read(spark) -> int:
+    """Input rows of all stages so far (files read; shuffles do not count)."""
+    import time
+
+    time.sleep(0.5)
+    sc = spark.sparkContext
+    empty = sc._jvm.java.util.ArrayList
+    doubles = sc._gateway.new_array(sc._jvm.double, 0)
+    stages = sc._jsc.sc().statusStore().stageList(empty(), False, False, doubles, empty())
+    return sum(stages.apply(i).inputRecords() for i in range(stages.size()))

@@ -23,8 +23,10 @@ def grid(
     source being scanned again."""
     seen = F.count(F.col(counted))
     n_blocks = df.agg(F.greatest(F.ceil(seen / F.lit(block_rows)), F.lit(1)).cast("int")).scalar()
-    placed = df.withColumn("_blocks", n_blocks).withColumn(
-        "_block", F.pmod(F.xxhash64(key), F.col("_blocks")).cast("int")
+    # never null, or the join on the cells would push null filters into one side's scan and the two
+    # sides could no longer share it
+    placed = df.withColumn("_blocks", F.coalesce(n_blocks, F.lit(1))).withColumn(
+        "_block", F.coalesce(F.pmod(F.xxhash64(key), F.col("_blocks")).cast("int"), F.lit(0))
     )
     left = placed.withColumn("cell_i", F.col("_block")).withColumn(
         "cell_j", F.explode(F.sequence(F.col("_block"), F.col("_blocks") - 1))

@@ -356,3 +356,9 @@ def series_report(fact: DataFrame, series: str) -> DataFrame:
         rnd(_pct_above(F.col("above_baseline")), 1).alias("pct_above"),
     )
     return per.select(F.lit("REGIONAL REPORT").alias("report_type"), "*")
+
+
+def register(fact: DataFrame, view: str = "weekly_fact") -> DataFrame:
+    """Make the fact table available to free SQL under a name; returns it unchanged."""
+    fact.createOrReplaceTempView(view)
+    return fact

@@ -86,8 +86,8 @@ def run_etl(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Load, validate, clean, enrich and export; returns the stored region and site panels.
 
-    The clean panels are written first and everything else reads them back, so the raw files are
-    cleaned once however many exports follow."""
+    The clean panels are written first and the exports read them back; only the validation log and the
+    run counters look at the raw files again."""
     raw_region, raw_site = read_pair(spark, region_path, site_path)
     region = clean_wide(raw_region)
     site = clean_wide(raw_site) if raw_site is not None else None

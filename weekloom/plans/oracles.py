@@ -830,8 +830,36 @@ clustered AS (
     )
 
 
+def _axis(name: str, matrix: str) -> str:
+    """Leading axis of a symmetric matrix by repeated squaring: m**(2**16) tends to v v'."""
+    return f"""
+{name}_pow(i, m) AS (
+  SELECT 0, c FROM {matrix}
+  UNION ALL
+  SELECT i + 1, [[list_dot_product(a, b) / list_sum([list_dot_product(d, d) for d in m]) for b in m] for a in m]
+  FROM {name}_pow WHERE i < 16),
+{name}_row AS (
+  SELECT m[list_position([m[j][j] for j in range(1, 9)], list_max([m[j][j] for j in range(1, 9)]))] AS w
+  FROM {name}_pow WHERE i = 16),
+{name}_unit AS (SELECT [x / sqrt(list_dot_product(w, w)) for x in w] AS u FROM {name}_row),
+{name} AS (
+  SELECT [x * sign(u[list_position([abs(y) for y in u], list_max([abs(y) for y in u]))]) for x in u] AS v,
+    list_dot_product(u, [list_dot_product(a, u) for a in c]) AS lambda, c
+  FROM {name}_unit CROSS JOIN {matrix})"""
+
+
+_COV = "cov AS (SELECT [" + ", ".join(
+    "[" + ", ".join(f"avg(z_{a} * z_{b})" for b in FEATURES) + "]" for a in FEATURES
+) + "] AS c FROM norm)"
+_PCA = f"""{_COV},{_axis("ax1", "cov")},
+rest AS (SELECT [[c[i][j] - lambda * v[i] * v[j] for j in range(1, 9)] for i in range(1, 9)] AS c FROM ax1),
+{_axis("ax2", "rest")}"""
+
+
 def _segments() -> dict[str, str]:
     km = _kmeans()
+    p = f"[{', '.join('z_' + f for f in FEATURES)}]"
+    whole = "list_sum([ax1.c[i][i] for i in range(1, 9)])"
     top = ", ".join(FEATURES)
     return {
         "sg_features": q(_FEATURES, "SELECT * FROM feat"),
@@ -843,6 +871,18 @@ def _segments() -> dict[str, str]:
         "sg_clusters": q(
             km, "SELECT series, cluster_id, cluster_name, mean_index, current_index FROM clustered"
         ),
+        "sg_pca": q(
+            km + "," + _PCA,
+            f"""SELECT series, {r(f'list_dot_product({p}, ax1.v)', 4)} AS pc1,
+              {r(f'list_dot_product({p}, ax2.v)', 4)} AS pc2, cluster_name AS cluster
+            FROM norm JOIN (SELECT series, cluster_name FROM clustered) USING (series), ax1, ax2""",
+        ),
+        "sg_pca_variance": q(
+            _NORM + "," + _PCA,
+            f"""SELECT component, {r('100 * share', 2)} AS explained_pct, (SELECT count(*) FROM feat) AS n_series
+            FROM (SELECT 1::BIGINT AS component, ax1.lambda / {whole} AS share FROM ax1
+                  UNION ALL SELECT 2, ax2.lambda / {whole} FROM ax1, ax2)""",
+        ),
         "sg_profiles": q(
             km
             + ", prof AS (SELECT cluster_name, "
