@@ -203,3 +203,47 @@ def test_lloyd_equals_brute_force(spark):
                 break
             c = new
         assert [r[f"c{k}"] for r in got] == list(lab)
+
+
+@pytest.fixture(scope="module")
+def skewed(spark, tmp_path_factory):
+    """Tables where a third of all lines belong to one order and a third to one part."""
+    out = str(tmp_path_factory.mktemp("skew"))
+    n = 240000
+    spark.range(8).selectExpr("cast(id as int) n_nationkey", "concat('N', id) n_name", "1 n_regionkey").write.parquet(f"{out}/nation.parquet")
+    spark.range(500).selectExpr("id c_custkey", "cast(id % 8 as int) c_nationkey").write.parquet(f"{out}/customer.parquet")
+    spark.range(40000).selectExpr("id o_orderkey", "id % 500 o_custkey").write.parquet(f"{out}/orders.parquet")
+    spark.range(2000).selectExpr("id p_partkey", "concat('T', id % 3) p_type").write.parquet(f"{out}/part.parquet")
+    spark.range(0, n, numPartitions=12).selectExpr(
+        "if(id % 3 = 0, 7, id % 40000) l_orderkey",
+        "if(id % 3 = 1, 11, id % 2000) l_partkey",
+        "cast(id % 50 + 1 as double) l_quantity",
+        "cast(date_add(date'1996-01-01', cast(id % 700 as int)) as timestamp_ntz) l_shipdate",
+    ).write.parquet(f"{out}/lineitem.parquet")
+    return out
+
+
+def test_hot_join_keys_are_split(spark, skewed):
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    frames = {"region": tables.region_weekly, "site": tables.site_weekly}
+    want = {k: by(f(spark, skewed), "series", "week_ending") for k, f in frames.items()}
+    old = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        for k, f in frames.items():
+            df = f(spark, skewed)
+            got = by(df, "series", "week_ending")
+            assert got == want[k]
+            assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    total = sum(r["qty"] for r in want["region"].values())
+    assert total == sum(i % 50 + 1 for i in range(240000)) == sum(r["qty"] for r in want["site"].values())

@@ -844,7 +844,7 @@ def _axis(name: str, matrix: str) -> str:
 {name}_unit AS (SELECT [x / sqrt(list_dot_product(w, w)) for x in w] AS u FROM {name}_row),
 {name} AS (
   SELECT [x * sign(u[list_position([abs(y) for y in u], list_max([abs(y) for y in u]))]) for x in u] AS v,
-    list_dot_product(u, [list_dot_product(a, u) for a in c]) AS lambda, c
+    list_dot_product(u, [list_dot_product(a, u) for a in c]) AS ev, c
   FROM {name}_unit CROSS JOIN {matrix})"""
 
 
@@ -852,7 +852,7 @@ _COV = "cov AS (SELECT [" + ", ".join(
     "[" + ", ".join(f"avg(z_{a} * z_{b})" for b in FEATURES) + "]" for a in FEATURES
 ) + "] AS c FROM norm)"
 _PCA = f"""{_COV},{_axis("ax1", "cov")},
-rest AS (SELECT [[c[i][j] - lambda * v[i] * v[j] for j in range(1, 9)] for i in range(1, 9)] AS c FROM ax1),
+rest AS (SELECT [[c[i][j] - ev * v[i] * v[j] for j in range(1, 9)] for i in range(1, 9)] AS c FROM ax1),
 {_axis("ax2", "rest")}"""
 
 
@@ -880,8 +880,8 @@ def _segments() -> dict[str, str]:
         "sg_pca_variance": q(
             _NORM + "," + _PCA,
             f"""SELECT component, {r('100 * share', 2)} AS explained_pct, (SELECT count(*) FROM feat) AS n_series
-            FROM (SELECT 1::BIGINT AS component, ax1.lambda / {whole} AS share FROM ax1
-                  UNION ALL SELECT 2, ax2.lambda / {whole} FROM ax1, ax2)""",
+            FROM (SELECT 1::BIGINT AS component, ax1.ev / {whole} AS share FROM ax1
+                  UNION ALL SELECT 2, ax2.ev / {whole} FROM ax1, ax2)""",
         ),
         "sg_profiles": q(
             km
