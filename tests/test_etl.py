@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 
 from weekloom.functions.labels import REGION_LABELS
+from weekloom.operators import sqlpack, transform
 from weekloom.plans.etl import run_etl, to_feed
 from weekloom.plans.reports import write_reports
 from weekloom.sources.readers import read_wide
@@ -105,3 +106,21 @@ def test_reports(spark, run):
     text = [r["value"] for r in spark.read.text(f"{out}/executive_summary").collect()]
     assert "Coverage from 2024-07-07" in text and any(t.startswith("Recommendation 5") for t in text)
     assert any(t.startswith("London premium over the total: ") for t in text)
+
+
+def test_report_pack_on_a_stored_panel(spark, run):
+    """The report pack and free SQL run on the stored panel as well as on one built from lines."""
+    _, _, panel, _ = run
+    fact = sqlpack.register(transform.fact(panel), "weekly_fact")
+    board = by(sqlpack.dashboard(fact), "series")
+    assert sorted(board) == sorted(NAMES)
+    last = by(sqlpack.latest(fact), "series")
+    assert {r["week_ending"] for r in last.values()} == {weeks("2024-07-07", 60)[-1]}
+    sqlpack.summary_view(fact, "newest")
+    assert spark.sql("select count(*) n from newest where current_rank >= 1").collect()[0]["n"] == 6
+    means = spark.sql(
+        "select series, avg(idx) m from weekly_fact where season = :season group by series",
+        args={"season": "Summer"},
+    )
+    report = sqlpack.series_report(fact, "London").collect()[0]
+    assert report["summer_avg"] == pytest.approx(by(means, "series")["London"]["m"], abs=0.006)

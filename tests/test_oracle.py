@@ -33,4 +33,4 @@ def test_query(spark, con, name):
 
 
 def test_entry(spark):
-    assert entry_points.entry(spark).count() == 9
+    assert entry_points.entry(spark).count() == 10

@@ -78,14 +78,15 @@ def interpolate(
 ) -> DataFrame:
     """Linear interpolation by row position; edge nulls take the nearest value.
 
-    Both neighbours come from running frames (one in each sort direction), so the cost per series
-    is linear."""
+    Both neighbours come from running frames, one in each sort direction, so the cost per series is
+    linear; the ascending one comes last and leaves the rows sorted for the windows that follow.
+    Positions are counted from the end, which changes no ratio."""
     over, upto = f"over (partition by {by} order by {order}", "rows unbounded preceding)"
     known = f"if({value} is null, null, struct(_x as x, {value} as v))"
     keep = df.columns
-    near = df.selectExpr("*", f"cast(row_number() {over}) as double) as _x")
-    near = near.selectExpr("*", f"last({known}, true) {over} asc {upto} as _p")
+    near = df.selectExpr("*", f"-cast(row_number() {over} desc) as double) as _x")
     near = near.selectExpr("*", f"last({known}, true) {over} desc {upto} as _n")
+    near = near.selectExpr("*", f"last({known}, true) {over} asc {upto} as _p")
     between = "_p.v + (_n.v - _p.v) * ((_x - _p.x) / (_n.x - _p.x))"
     filled = (
         f"case when {value} is not null then {value} when _p is null then _n.v "

@@ -398,11 +398,10 @@ def ranking(panel: DataFrame, weights: Mapping[str, float] = WEIGHTS) -> DataFra
         "trend": F.least(hundred, F.greatest(zero, c("slope") * 200.0 + 50.0)),
         "stability": F.greatest(zero, hundred - span),
         "recovery": F.least(hundred, (c("last") - c("lo")) / (span + 0.01) * 100.0),
-        "peak": F.coalesce(F.least(hundred, c("dec") / 1.5), F.lit(50.0)),
+        # least() passes over nulls, so a series without a December is caught first
+        "peak": F.when(c("dec").isNull(), 50.0).otherwise(F.least(hundred, c("dec") / 1.5)),
         "consistency": F.greatest(zero, hundred - c("sd") * 5.0),
     }
-    # least/greatest pass over nulls, so a December-less series must stay null until coalesce
-    scores["peak"] = F.when(c("dec").isNotNull(), scores["peak"]).otherwise(50.0)
     per = per.select("series", *[s.alias(name) for name, s in scores.items()])
     whole = sum((c(name) * float(weights[name]) for name in scores), zero)
     placed = with_position(per.withColumn("whole", rnd(whole, 6)), "whole", "series", "rank")

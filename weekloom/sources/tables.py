@@ -7,7 +7,7 @@ shuffled, with three and two narrow columns, and adaptive execution splits a hot
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import week_ending
@@ -115,13 +115,19 @@ def site_panel(spark: SparkSession, folder: str) -> DataFrame:
     return to_index(site_weekly(spark, folder))
 
 
-def latest_week(panel: DataFrame):
-    """Newest week of a panel as a scalar subquery. It looks at rows with a quantity, which keeps
-    its plan equal to the panel's, so the exchange is shared and the lines are read once."""
-    return panel.agg(F.max(F.when(F.col("qty").isNotNull(), F.col("week_ending")))).scalar()
+def _seen_week(panel: DataFrame) -> Column:
+    """The week of a row with a quantity (a value, in stored panels). Looking at the quantity keeps the
+    plan of a subquery equal to the panel's, so the exchange is shared and the lines are read once."""
+    seen = "qty" if "qty" in panel.columns else "idx"
+    return F.when(F.col(seen).isNotNull(), F.col("week_ending"))
 
 
-def week_bounds(panel: DataFrame):
-    """First and last week of a panel as one scalar struct (same note as ``latest_week``)."""
-    week = F.when(F.col("qty").isNotNull(), F.col("week_ending"))
+def latest_week(panel: DataFrame) -> Column:
+    """Newest week of a panel as a scalar subquery."""
+    return panel.agg(F.max(_seen_week(panel))).scalar()
+
+
+def week_bounds(panel: DataFrame) -> Column:
+    """First and last week of a panel as one scalar struct."""
+    week = _seen_week(panel)
     return panel.agg(F.struct(F.min(week).alias("lo"), F.max(week).alias("hi"))).scalar()
