@@ -43,11 +43,12 @@ def typed(raw: DataFrame) -> DataFrame:
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keep the first row per key in ``order``. It is an aggregate, not a window: copies of one hot
-    key are reduced on the map side and never meet in one task."""
+    """Keep the first row per key in ``order``, which must tell all copies of a key apart. It is an
+    aggregate, not a window: copies of one hot key are reduced on the map side and never meet in one
+    task."""
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), F.struct(*order))
-    return df.groupBy(*keys).agg(first.alias("_first")).select(*keys, "_first.*")
+    return df.groupBy(*keys).agg(*[F.min_by(c, place).alias(c) for c in rest])
 
 
 def densify(df: DataFrame, bounds: Column, value: str) -> DataFrame:

@@ -511,13 +511,13 @@ def report_facts(
     )
 
 
-# Closing advice of the management report.
+# Closing advice of the management report.
 ADVICE = (
-    "Focus investment on top-ranked series showing strong momentum.",
-    "Plan inventory and staffing around the December peak (weeks 49-52).",
-    "Develop January recovery strategies for underperforming series.",
-    "Monitor the site type with the highest baseline.",
-    "Use forecast projections for 8-week operational planning.",
+    "Invest first where rank and trend agree.",
+    "Stock and staff for the weeks before Christmas (49 to 52).",
+    "Give series with a deep January trough a recovery plan.",
+    "Keep watching the site type that sits highest above the baseline.",
+    "Plan the coming eight weeks on the forecast and its band.",
 )
 
 
