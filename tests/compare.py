@@ -47,8 +47,6 @@ def duck_result(con, sql: str) -> tuple[list[str], list[tuple]]:
     return sorted(columns), table(columns, cur.fetchall())
 
 
-KINDS = {"int": "int", "long": "bigint"}
-
 
 def spark_types(df) -> dict[str, str]:
     names = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
