@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, quality_rules
+from . import chat_format, language, quality_model, quality_rules
 from .common import documents, source_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,30 @@ def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def remainder(modulus: int):
+    """crc32 of the document id as text, modulo ``modulus``; a null id counts as empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(modulus))
+
+
+def op1_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document; labels with remainder 0 of 5 are held out."""
+    stats = quality_model.quality_statistics(documents(spark, folder))
+    labels = source_table(spark, folder, "labels").select("doc_id", "quality").where(remainder(5) != 0)
+    model = quality_model.fit_quality(stats, labels)
+    return quality_model.score_quality(stats, model, threshold=0.3).select(
+        "doc_id", (remainder(5) == 0).alias("held_out"), "score", "predicted"
+    )
+
+
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document; rows with remainder 2 of 4 are held out."""
+    docs = documents(spark, folder)
+    model = language.fit_language(docs.where(remainder(4) != 2))
+    return language.score_language(docs, model).select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts and verdict of every document."""
     return quality_rules.quality_rules(documents(spark, folder)).select(
@@ -45,6 +69,8 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_quality_model": op1_quality_model,
+        "op9_language": op9_language,
         "op3_chat_format": op3_chat_format,
         "op10_quality_rules": op10_quality_rules,
     }
