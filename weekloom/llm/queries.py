@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, language, quality_model, quality_rules
+from . import chat_format, language, packing, quality_model, quality_rules, tokens
 from .common import documents, source_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +52,21 @@ def op1_quality_model(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def bpe_files() -> tuple[str, str]:
+    """Byte-level BPE vocabulary, as the tokenizers library reads it and as ranks."""
+    return tuple(public_tokenizers.path(f) for f in tokens.BPE)
+
+
+def op4_token_count(spark: SparkSession, folder: str) -> DataFrame:
+    """Unigram token count of every document."""
+    return tokens.count_tokens(documents(spark, folder), public_tokenizers.path(tokens.UNIGRAM))
+
+
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document with its sequence and offset."""
+    return packing.pack_documents(documents(spark, folder), bpe_files())
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document; rows with remainder 2 of 4 are held out."""
     docs = documents(spark, folder)
@@ -70,6 +86,8 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_model": op1_quality_model,
+        "op4_token_count": op4_token_count,
+        "op5_packing": op5_packing,
         "op9_language": op9_language,
         "op3_chat_format": op3_chat_format,
         "op10_quality_rules": op10_quality_rules,
