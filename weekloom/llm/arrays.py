@@ -12,8 +12,10 @@ import pyarrow.compute as pc
 #: Bytes of text that are worked on at once; a longer text is a chunk of its own.
 CHUNK_BYTES = 1 << 21
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_SPACES = np.zeros(256, bool)
-_SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+SPACES = np.zeros(256, bool)
+SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: ASCII characters other than letters and digits.
+PUNCTUATION = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -61,10 +63,13 @@ def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of bytes other than ASCII white space, and the words' offsets per text."""
+def words(
+    data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACES
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes other than separators (ASCII white space by default), and the
+    words' offsets per text."""
     inside = np.zeros(len(data) + 1, bool)
-    inside[:-1] = ~_SPACES[data]
+    inside[:-1] = ~between[data]
     begin = inside[:-1].copy()
     begin[1:] &= ~inside[:-2]
     stop = inside[:-1] & ~inside[1:]
