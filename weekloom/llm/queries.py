@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language, packing, quality_model, quality_rules, tokens
+from . import chat_format, decontaminate, language, minhash, packing, quality_model, quality_rules, tokens
 from .common import documents, source_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,11 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(documents(spark, folder), bpe_files())
 
 
+def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Component of near duplicates of every document."""
+    return minhash.near_duplicates(documents(spark, folder))
+
+
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item."""
     return decontaminate.find_leaks(documents(spark, folder), source_table(spark, folder, "benchmark"))
@@ -93,6 +98,7 @@ def queries() -> dict[str, Query]:
         "op1_quality_model": op1_quality_model,
         "op4_token_count": op4_token_count,
         "op5_packing": op5_packing,
+        "op7_near_duplicates": op7_near_duplicates,
         "op8_decontaminate": op8_decontaminate,
         "op9_language": op9_language,
         "op3_chat_format": op3_chat_format,
