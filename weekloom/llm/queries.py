@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language, minhash, packing, quality_model, quality_rules, tokens
+from . import chat_format, decontaminate, language, minhash, packing, quality_model, quality_rules, suffix_dedup, tokens
 from .common import documents, source_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 PROBE_TEXT = "\\### Assistant: </turn> ok"
 
 
+def op2_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document that lie in a 200-byte string found elsewhere too, and a digest of the rest."""
+    found = suffix_dedup.repeated_bytes(documents(spark, folder))
+    return found.select(
+        "doc_id", "n_bytes", F.col("n_removed").cast("bigint").alias("n_removed"),
+        F.col("n_spans").cast("bigint").alias("n_spans"), "kept_sha256",
+    )
+
+
 def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     """Conversations formatted and read back, with digests of the turns and of the text under the loss mask."""
     rows = source_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
@@ -101,6 +110,7 @@ def queries() -> dict[str, Query]:
         "op7_near_duplicates": op7_near_duplicates,
         "op8_decontaminate": op8_decontaminate,
         "op9_language": op9_language,
+        "op2_repeated_bytes": op2_repeated_bytes,
         "op3_chat_format": op3_chat_format,
         "op10_quality_rules": op10_quality_rules,
     }
