@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language, minhash, packing, quality_model, quality_rules, suffix_dedup, tokens
+from . import chat_format, decontaminate, language, minhash, packing, pii, quality_model, quality_rules, suffix_dedup, tokens
 from .common import documents, source_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,13 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(documents(spark, folder), bpe_files())
 
 
+def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document."""
+    return pii.personal_data(documents(spark, folder)).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans"
+    )
+
+
 def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Component of near duplicates of every document."""
     return minhash.near_duplicates(documents(spark, folder))
@@ -107,6 +114,7 @@ def queries() -> dict[str, Query]:
         "op1_quality_model": op1_quality_model,
         "op4_token_count": op4_token_count,
         "op5_packing": op5_packing,
+        "op6_personal_data": op6_personal_data,
         "op7_near_duplicates": op7_near_duplicates,
         "op8_decontaminate": op8_decontaminate,
         "op9_language": op9_language,
