@@ -25,16 +25,13 @@ ORACLE_SQL = None
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in a known language; others (no letters, unsure) go."""
-    model = language.fit_language(docs)
-    scored = language.score_language(docs, model, keep=tuple(docs.columns))
-    known = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SURE)
-    return scored.where(known).select(*docs.columns)
+    return language.in_known_language(docs, language.fit_language(docs), LEAST_SURE)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates: the one with the least id."""
-    gone = minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    gone = minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_other")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("_other"), "left_anti")
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

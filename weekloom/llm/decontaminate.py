@@ -28,6 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .arrays import PUNCTUATION, PrefixHash, chunks, mix, owners, utf8, words
 
@@ -131,11 +132,11 @@ class ItemIndex:
         posting = np.repeat(self.posting_at[term[use]] - (np.cumsum(many) - many), many) + np.arange(many.sum())
         cell = np.repeat(window, many) * len(self.blocks) + self.posting_block[posting]
         size = first_window[-1] * len(self.blocks)
-        bound = np.bincount(cell, self.posting_max[posting], size).reshape(first_window[-1], len(self.blocks))
-        follows = np.zeros(first_window[-1], bool)
-        follows[first_window[1:][steps > 0] - 1] = True
+        bound = np.bincount(cell, self.posting_max[posting], size).astype(float).reshape(first_window[-1], len(self.blocks))
+        final = np.zeros(first_window[-1], bool)
+        final[first_window[1:][steps > 0] - 1] = True
         both = bound.copy()
-        both[:-1] += np.where(follows[:-1, None], 0.0, bound[1:])
+        both[:-1] += np.where(final[:-1, None], 0.0, bound[1:])
         found: dict[tuple[int, int], tuple[float, float, float]] = {}
         places = np.argwhere((both > 0) & (both + self.rest >= self.least - 1e-9))
         last, present = -1, None
@@ -184,6 +185,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                item_col: str = "item_id", item_text_col: str = "text", answer_col: str | None = None) -> DataFrame:
     """``doc_id, item_id, score, question_overlap, answer_overlap`` of every verified pair."""
     kinds = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
+    item_type = to_arrow_type(items.schema[item_col].dataType)
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, question_overlap double, answer_overlap double"
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("body"))
     found = docs.sparkSession.createDataFrame([], schema)
@@ -195,7 +197,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                 if hits:
                     doc = part.column("doc_id").take(pa.array([x[0] for x in hits], pa.int64()))
                     yield pa.RecordBatch.from_arrays(
-                        [doc, pa.array([index.ids[x[1]] for x in hits]),
+                        [doc, pa.array([index.ids[x[1]] for x in hits], item_type),
                          *[pa.array([x[k] for x in hits], pa.float64()) for k in (2, 3, 4)]],
                         names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
                     )

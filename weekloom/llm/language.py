@@ -202,29 +202,43 @@ def fit_language(labelled: DataFrame, text_col: str = "text", lang_col: str = "l
     return LanguageModel(tuple(m["langs"]), weights, np.array(m["bias"]), m["temperature"])
 
 
+def _predicted(texts: pa.Array, model: LanguageModel | None) -> tuple[np.ndarray, np.ndarray]:
+    """Language and probability of each text."""
+    if model is None:
+        return np.full(len(texts), UNDETERMINED, object), np.zeros(len(texts))
+    grams, offsets, lettered = gram_buckets(texts)
+    logits = np.zeros((len(texts), len(model.languages)))
+    for index in grams:
+        logits += np.add.reduceat(model.weights[index], offsets[:-1], axis=0)
+    p = _softmax((logits / np.diff(offsets)[:, None] + model.bias) / model.temperature)
+    best = np.array(model.languages, object)[p.argmax(axis=1)]
+    return np.where(lettered, best, UNDETERMINED), np.where(lettered, p.max(axis=1), 0.0)
+
+
 def score_language(docs: DataFrame, model: LanguageModel | None, text_col: str = "text",
-                   keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``lang_pred`` and ``score`` (probability of the predicted language)."""
-    narrow = docs.select(*[F.col(c).alias(f"k_{c}") for c in keep], F.col(text_col).alias("body"))
-    schema = ", ".join(f"`k_{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+                   id_col: str = "doc_id") -> DataFrame:
+    """``doc_id, lang_pred`` and ``score`` (probability of the predicted language)."""
+    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("body"))
 
     def score(batches):
         for part, _, _ in chunks(batches, "body"):
-            label = np.full(part.num_rows, UNDETERMINED, object)
-            sure = np.zeros(part.num_rows)
-            if model is not None:
-                grams, offsets, lettered = gram_buckets(part.column("body"))
-                logits = np.zeros((part.num_rows, len(model.languages)))
-                for index in grams:
-                    logits += np.add.reduceat(model.weights[index], offsets[:-1], axis=0)
-                logits = logits / np.diff(offsets)[:, None] + model.bias
-                p = _softmax(logits / model.temperature)
-                label = np.where(lettered, np.array(model.languages, object)[p.argmax(axis=1)], UNDETERMINED)
-                sure = np.where(lettered, p.max(axis=1), 0.0)
+            label, sure = _predicted(part.column("body"), model)
             yield pa.RecordBatch.from_arrays(
-                [*[part.column(f"k_{c}") for c in keep], pa.array(label, pa.string()), pa.array(sure, pa.float64())],
-                names=[*[f"k_{c}" for c in keep], "lang_pred", "score"],
+                [part.column("doc_id"), pa.array(label, pa.string()), pa.array(sure, pa.float64())],
+                names=["doc_id", "lang_pred", "score"],
             )
 
-    scored = narrow.mapInArrow(score, f"{schema}, lang_pred string, score double")
-    return scored.select(*[F.col(f"k_{c}").alias(c) for c in keep], "lang_pred", "score")
+    kind = docs.schema[id_col].dataType.simpleString()
+    return narrow.mapInArrow(score, f"doc_id {kind}, lang_pred string, score double")
+
+
+def in_known_language(docs: DataFrame, model: LanguageModel | None, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is determined with probability ``least`` or more, unchanged; rows are
+    filtered where they are read."""
+
+    def run(batches):
+        for part, _, _ in chunks(batches, text_col):
+            label, sure = _predicted(part.column(text_col), model)
+            yield part.filter(pa.array((label != UNDETERMINED) & (sure >= least)))
+
+    return docs.mapInArrow(run, docs.schema)
