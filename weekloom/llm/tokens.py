@@ -90,24 +90,21 @@ class UnigramCounter:
     strictly better score replaces, so the longest last piece wins. A character without a piece costs the
     least score less ten and counts as its UTF-8 bytes (byte fallback). Scores are summed as doubles.
 
-    White space is not normalised; a space reads as the marker and one marker is put in front. Pieces have
-    the marker only in front, or are runs of it that never beat single markers, so a text may be cut before
-    every marker; with any other vocabulary a text is scored as one piece."""
+    White space is not normalised; a space reads as the marker and one marker is put in front. If pieces have
+    markers only in front or consist of them, none crosses from another character to a marker, and a text may
+    be cut before every run of markers; with any other vocabulary a text is scored as one piece."""
 
     MARK = "▁"
 
     def __init__(self, pieces: list[tuple[str, float]]):
         self.unknown = min(s for _, s in pieces) - 10.0
-        single = dict(pieces).get(self.MARK)
-        runs = [(p, s) for p, s in pieces if set(p) == {self.MARK} and len(p) > 1]
-        inner = any(self.MARK in p[1:] for p, _ in pieces if set(p) != {self.MARK})
-        self.cuts = not inner and single is not None and all(s < single * len(p) for p, s in runs)
+        self.cuts = not any(self.MARK in p.lstrip(self.MARK) for p, _ in pieces)
         self.automaton = ahocorasick.Automaton()
         for p, s in pieces:
-            if not (self.cuts and set(p) == {self.MARK} and len(p) > 1):
-                self.automaton.add_word(p, (len(p), s))
+            self.automaton.add_word(p, (len(p), s))
         self.automaton.make_automaton()
         self.after_space = _Cached(lambda piece: self.best(self.MARK + piece))
+        self.runs = re.compile(f"{self.MARK}({self.MARK}*[^{self.MARK}]*)")
 
     def best(self, text: str) -> tuple[int, float]:
         """Piece count and score of a string without cuts."""
@@ -136,9 +133,13 @@ class UnigramCounter:
         if not text:
             return 0, 0.0
         plain = text.replace(self.MARK, " ")
-        if not self.cuts:
+        if self.cuts and "  " not in plain and plain[0] != " ":
+            pieces = plain.split(" ")
+        elif self.cuts:
+            pieces = self.runs.findall(self.MARK + plain.replace(" ", self.MARK))
+        else:
             return self.best(self.MARK + plain.replace(" ", self.MARK))
-        counts, scores = zip(*map(self.after_space.__getitem__, plain.split(" ")), strict=True)
+        counts, scores = zip(*map(self.after_space.__getitem__, pieces), strict=True)
         return sum(counts), float(sum(scores))
 
 
