@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weekloom.functions.calendar import calendar, week_ending
 from weekloom.functions.numeric import rnd
 from weekloom.operators import alerts, clean, forecast, quality, segment, sqlpack, stats, transform
-from weekloom.sources import readers
+from weekloom.sources import readers, tables
 
 from .frames import by, panel, weeks
 
@@ -52,6 +52,51 @@ def test_dates_iso_serial_and_garbage(spark):
     assert got == [date(2024, 7, 7), date(2024, 7, 7), date(2024, 7, 7), None, None]
 
 
+def test_dates_in_other_formats_and_absurd_numbers(spark):
+    good = ["20240707", "2024/07/07", "7/7/2024", "07/07/2024", "7.7.2024", "7 Jul 2024", "Jul 7, 2024", "July 7, 2024"]
+    bad = ["99999999", "2024", "5", "123456", "45480000", "99999-01-01", "1024-01-01", "77/77/2024"]
+    df = feed(spark, [("s", t, "1", i) for i, t in enumerate(good + bad)])
+    got = [r["week_ending"] for r in clean.typed(df).orderBy("ingest_seq").collect()]
+    assert got == [date(2024, 7, 7)] * len(good) + [None] * len(bad)
+    assert by(quality.bad_dates(df), "series")["s"]["n_bad_date"] == len(bad)
+    assert not any(r["check"] == "serial_date" for r in quality.dq_log(df).collect())
+
+
+def test_one_odd_date_does_not_widen_the_calendar(spark):
+    rows = [("a", "2024-07-07", "1", 0), ("a", "20240721", "3", 1), ("b", "2024-07-14", "5", 2), ("b", "77777777", "6", 3)]
+    got = by(clean.clean_feed(feed(spark, rows)), "series", "week_ending")
+    assert len(got) == 6 and got["a", date(2024, 7, 14)]["value_filled"] == 2.0
+
+
+def test_gap_without_a_whole_week_is_irregular(spark):
+    rows = [("s", t, "1", i) for i, t in enumerate(["2024-07-07", "2024-07-18", "2024-08-01"])]
+    got = by(quality.date_gaps(feed(spark, rows)), "from_week")
+    assert got[date(2024, 7, 7)]["irregular"] and not got[date(2024, 7, 18)]["irregular"]
+
+
+def test_trend_of_short_empty_constant_and_zero_base_series(spark):
+    p = panel(spark, good=[1, 2, 3, 5], one=[4, None, None, None], two=[1, 3, None, None], none=[None] * 4, flat=[7] * 4)
+    got = by(stats.trend(p).join(stats.trend_p(p), "series"), "series")
+    value = lambda s: tuple(got[s][c] for c in ("slope", "r_squared", "std_error", "direction", "p_value"))
+    assert value("none") == value("one") == (None,) * 5
+    assert value("two") == (2.0, 1.0, 0.0, "STRONG_UP", None)
+    assert value("flat") == (0.0, 0.0, 0.0, "FLAT", 1.0)
+    assert got["good"]["direction"] == "STRONG_UP" and 0 < got["good"]["p_value"] < 0.1
+    weekly = spark.createDataFrame(
+        [("z", date(1996, 1, 7), 0.0), ("z", date(1997, 1, 5), 5.0), ("y", date(1996, 1, 7), 2.0)],
+        "series string, week_ending date, qty double",
+    )
+    idx = {(r["series"], r["week_ending"].year): r["idx"] for r in tables.to_index(weekly).collect()}
+    assert idx == {("z", 1996): None, ("z", 1997): None, ("y", 1996): 100.0}
+
+
+def test_total_must_have_its_own_name(spark):
+    weekly = spark.createDataFrame([("TOTAL", date(1996, 1, 7), 1.0)], "series string, week_ending date, qty double")
+    with pytest.raises(Exception, match="TOTAL"):
+        tables.with_total(weekly).collect()
+    assert tables.with_total(weekly, "ALL").count() == 2
+
+
 def test_numbers(spark):
     texts = ["1.5", " 2 ", "n/a", None, "NaN", "inf", ""]
     df = feed(spark, [("s", "2024-07-07", t, i) for i, t in enumerate(texts)])

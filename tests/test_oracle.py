@@ -5,12 +5,13 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from weekloom.plans import oracles, registry
 
 from .compare import duck, duck_result, duck_types, spark_result, spark_types
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-SQL = entry_points.oracle_sql()
-QUERIES = entry_points.queries()
+SQL = oracles.oracle_sql()
+QUERIES = registry.queries()
 
 
 @pytest.fixture(scope="module")

@@ -131,9 +131,21 @@ def test_correlation_does_not_depend_on_the_blocks(spark):
     assert len(lower) == 13 * 14 // 2 and all(a >= b for a, b in lower)
 
 
-def test_correlation_of_disjoint_series_is_left_out(spark):
-    p = panel(spark, a=[1, 2, None, None], b=[None, None, 1, 2])
-    assert set(by(stats.correlation(p), "a", "b")) == {("a", "a"), ("b", "b")}
+def test_correlation_matrix_is_complete(spark):
+    p = panel(spark, a=[1, 2, None, None], b=[None, None, 1, 2], c=[100, 100, 100, 100])
+    got = {k: r["r"] for k, r in by(stats.correlation(p), "a", "b").items()}
+    assert len(got) == 9 and got["a", "a"] == got["b", "b"] == 1.0
+    assert all(got[k] is None for k in got if "c" in k or k in (("a", "b"), ("b", "a")))
+
+
+@pytest.mark.parametrize("level", [1e0, 1e2, 1e4, 1e6, 1e8])
+def test_correlation_keeps_its_digits_at_any_level(spark, level):
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(0, 1, (2, 60))
+    p = panel(spark, a=list(level + x), b=list(level + y - 0.3 * x))
+    got = by(stats.correlation(p), "a", "b")["a", "b"]["r"]
+    wide = p.groupBy("week_ending").pivot("series", ["a", "b"]).agg(F.first("idx"))
+    assert got == pytest.approx(wide.agg(F.corr("a", "b")).first()[0], abs=6e-4)
 
 
 def test_welch_does_not_depend_on_the_blocks(spark):
@@ -247,3 +259,103 @@ def test_hot_join_keys_are_split(spark, skewed):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     total = sum(r["qty"] for r in want["region"].values())
     assert total == sum(i % 50 + 1 for i in range(240000)) == sum(r["qty"] for r in want["site"].values())
+
+
+@pytest.mark.parametrize("limit", ["64MB", "32m", "-1"])
+def test_queries_run_at_any_broadcast_threshold(spark, folder, limit):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(name, None)
+    want = by(registry.queries()["q02_ranking"](spark, folder), "series")
+    try:
+        spark.conf.set(name, limit)
+        assert by(registry.queries()["q02_ranking"](spark, folder), "series") == want
+        assert registry.queries()["q10_site_winner"](spark, folder).count() > 0
+    finally:
+        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+
+
+@pytest.mark.parametrize("values", ["tied", "spread"])
+def test_ranks_have_no_one_task_window(spark, values):
+    n = 100_000
+    v = F.lit(1.0) if values == "tied" else F.rand(seed=2) * 1e6
+    df = spark.range(n, numPartitions=8).select(F.format_string("k%06d", "id").alias("series"), v.alias("v"))
+    got = with_position(df, "v", "series", "place")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    got = got.orderBy("place").collect()
+    assert [r["place"] for r in got] == list(range(1, n + 1))
+    assert all(a["v"] > b["v"] or a["v"] == b["v"] and a["series"] < b["series"] for a, b in itertools.pairwise(got))
+    ranked = with_rank(df, "v", "r")
+    for text in (plan, ranked._jdf.queryExecution().executedPlan().toString()):
+        windows = [i for i, line in enumerate(text.split("\n")) if "Window [" in line]
+        below = ["\n".join(text.split("\n")[i : i + 4]) for i in windows]
+        assert not any("SinglePartition" in b for b in below)
+
+
+def test_rank_buckets_are_even(spark):
+    """Values crowd in one hundredth; buckets follow the values all the same."""
+    df = spark.range(20_000).select((F.col("id") / 1e8).alias("v"), F.lit("g").alias("g"))
+    got = by(with_rank(df, "v", "r", by=["g"], digits=9), "v")
+    assert len(got) == 20_000 and {r["r"] for r in got.values()} == set(range(1, 20_001))
+
+
+def test_stored_tables_need_a_shared_folder(spark, monkeypatch):
+    from weekloom.sources import scratch
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda name, default=None: None)})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.scratch_folder(Session())
+    assert scratch.scratch_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_more_than_four_segments_keep_their_names(spark):
+    rng = np.random.default_rng(0)
+    rows = [(f"s{i}", *map(float, rng.normal(20 * (i % 6), 0.1, 9)), i % 6) for i in range(30)]
+    columns = ["series", *segment.FEATURES, "yoy_change", "k6"]
+    df = segment.name_clusters(spark.createDataFrame(rows, columns), 6)
+    assert df.select("cluster_id", "cluster_name").distinct().count() == 6
+    assert segment.profiles(df).count() == 6
+
+
+def test_unsettled_clusters_are_an_error(spark):
+    x, df = points(spark)
+    with pytest.raises(RuntimeError, match="settle"):
+        segment.lloyd(df, {4: x[[0, 1, 4, 7]]}, max_iter=1)
+
+
+def test_squared_silhouette_equals_brute_force(spark):
+    x, df = points(spark)
+    got = by(segment.squared_silhouette(df, [2, 3]), "k")
+    for k in (2, 3):
+        labels = np.arange(len(x)) % k
+        d = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+        own = np.array([d[i, labels == labels[i]].sum() / (np.sum(labels == labels[i]) - 1) for i in range(len(x))])
+        other = np.array([min(d[i, labels == c].mean() for c in set(labels) - {labels[i]}) for i in range(len(x))])
+        assert got[k]["score"] == pytest.approx(np.mean((other - own) / np.maximum(own, other)), abs=1e-9)
+
+
+def test_report_facts_cover_every_series(spark):
+    p, rows = series_panel(spark, 9)
+    facts = stats.report_facts(p, total="s00")
+    assert facts.where("metric = 'series_latest'").count() == 9
+    assert stats.report_facts(p, total="s00", first=2).where("metric = 'series_latest'").count() == 2
+
+
+def test_p_values_at_published_points(spark):
+    """Two-sided 5 % points of Student's t as printed in tables."""
+    from weekloom.functions.student import t_two_sided
+
+    table = {3: 3.182446, 4: 2.776445, 5: 2.570582, 6: 2.446912, 7: 2.364624, 8: 2.306004, 9: 2.262157, 10: 2.228139, 100: 1.983972}
+    df = spark.createDataFrame([(t, float(d)) for d, t in table.items()], "t double, d double")
+    for r in df.select(t_two_sided(F.col("t"), F.col("d")).alias("p")).collect():
+        assert r["p"] == pytest.approx(0.05, abs=1e-6)
+
+
+def test_consumed_year_on_year_is_not_sorted(spark, folder):
+    plan = registry.queries()["al_impact"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [" not in plan

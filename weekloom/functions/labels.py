@@ -27,12 +27,6 @@ SITE_LABELS = {
     "Retail_Parks": "Retail Parks",
     "Town_and_City_Centres": "Town & City Centres",
 }
-REPORT_LABELS = {
-    **REGION_LABELS,
-    **SITE_LABELS,
-    "Yorkshire_and_The_Humber": "Yorkshire & Humber",
-    "District_and_Local_Centres": "District & Local",
-}
 
 
 def dim_series(spark: SparkSession, labels: dict[str, str]) -> DataFrame:

@@ -11,23 +11,37 @@ from ..sources.feed import SERIAL_ORIGIN
 from ..sources.tables import week_bounds
 
 DIGITS = r"^[0-9]+(\.[0-9]+)?$"
+#: Day counts read as Excel serials (1954-10-03 to 2119-01-11); other digits are no serial.
+SERIAL_MIN, SERIAL_MAX = 20_000, 80_000
+#: Years a week may lie in; a date outside is as unreadable as text, because it would widen the calendar.
+YEAR_MIN, YEAR_MAX = 1900, 2199
+#: Date texts that are read besides ISO dates and timestamps, tried in this order (month before day).
+DATE_FORMATS = ("yyyy/M/d", "M/d/yyyy", "d.M.yyyy", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy")
 
 
 def is_serial(col: Column | str) -> Column:
-    """True for text made of digits, which is a day count rather than a date."""
+    """True for text that is a day count in the range of serials."""
     col = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(F.trim(col).rlike(DIGITS), F.lit(False))
+    text = F.trim(col)
+    days = F.when(text.rlike(DIGITS), text.try_cast("double"))
+    return F.coalesce(days.between(SERIAL_MIN, SERIAL_MAX), F.lit(False))
 
 
 def parse_week(col: Column | str) -> Column:
-    """ISO text or Excel serial to date; anything else is null. Digits are tested first, because a
-    cast reads ``45480`` as a year."""
+    """Date of a week text; null if it is none of these: ISO, eight digits (yyyyMMdd), a serial in range, or one
+    of ``DATE_FORMATS``. Digits never reach the cast, which would read ``45480`` as a year."""
     col = F.col(col) if isinstance(col, str) else col
     text = F.trim(col)
     days = text.try_cast("double").try_cast("int")
-    return F.when(is_serial(col), F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), days)).otherwise(
-        text.try_cast("date")
+    worded = F.coalesce(
+        text.try_cast("date"), *[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in DATE_FORMATS]
+    )
+    found = (
+        F.when(text.rlike("^[0-9]{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd")).cast("date"))
+        .when(is_serial(col), F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), days))
+        .when(~text.rlike(DIGITS), worded)
     )
+    return F.when(F.year(found).between(YEAR_MIN, YEAR_MAX), found)
 
 
 def to_number(col: Column | str) -> Column:

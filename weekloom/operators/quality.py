@@ -25,7 +25,8 @@ def range_check(raw: DataFrame, lo: float = INDEX_MIN, hi: float = INDEX_MAX) ->
 
 
 def date_gaps(raw: DataFrame, slack_days: int = SLACK_DAYS) -> DataFrame:
-    """Gaps of more than ``slack_days`` between neighbouring weeks, with the whole weeks missing.
+    """Gaps of more than ``slack_days`` between neighbouring weeks, with the whole weeks missing. A gap that
+    holds no whole week (10 to 13 days) is ``irregular``: a week was moved, not lost.
     Copies are dropped first, which bounds the window by the calendar."""
     weeks = (
         raw.select("series", parse_week("week_raw").alias("week_ending"))
@@ -41,6 +42,7 @@ def date_gaps(raw: DataFrame, slack_days: int = SLACK_DAYS) -> DataFrame:
         )
         .where(days > slack_days)
         .withColumn("missing", (F.floor(days / 7) - 1).cast("bigint"))
+        .withColumn("irregular", F.col("missing") == 0)
     )
 
 

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -15,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.blocks import grid
 from ..functions.numeric import age, position, rnd
+from ..sources.scratch import stored
 
 FEATURES = (
     "mean_index",
@@ -26,10 +25,15 @@ FEATURES = (
     "recovery_rate",
     "current_index",
 )
-# Segment names, best mean first.
+# Segment names, best mean first. Further segments are called by their number.
 NAMES = ("High-Performance Metros", "Stable Mid-Tier", "Recovering Regions", "Emerging Regions")
 
 
+def segment_name(place: int) -> str:
+    """Name of the segment with the ``place``-th best mean, from 0."""
+    return NAMES[place] if place < len(NAMES) else f"Segment {place + 1}"
+
+
 def features(panel: DataFrame) -> DataFrame:
     """Nine features per series from one aggregation."""
     v, month = F.col("idx"), F.month("week_ending")
@@ -82,16 +86,6 @@ def normalise(feats: DataFrame) -> DataFrame:
     )
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write a small result as a table under the checkpoint folder the cluster names and read it back,
-    so that iterations do not return to the source and the loss of an executor costs nothing."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weekloom-")
-    path = f"{folder}/weekloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 POINT = f"array({', '.join(z(f) for f in FEATURES)})"
 
 
@@ -105,13 +99,14 @@ def _nearest(centroids: np.ndarray) -> str:
 
 
 def lloyd(
-    points: DataFrame, start: Mapping[int, np.ndarray], max_iter: int = 100
+    points: DataFrame, start: Mapping[int, np.ndarray], max_iter: int = 300
 ) -> dict[int, Column]:
     """Run k-means from the start centroids of every k in the same jobs; returns the label per k.
 
     ``points`` has the coordinates in an array ``p``. A pass aggregates k * 8 means with map-side
     combine; only the centroids come back. An empty cluster keeps its centroid. Labels belong to the
-    centroids before the last, immaterial move."""
+    centroids before the last, immaterial move. Centroids that still move after ``max_iter`` passes are an
+    error, not a result."""
     centroids = {k: np.array(c, dtype=float) for k, c in start.items()}
     moving = set(centroids)
     dims = [f"avg(p[{i}]) as x{i}" for i in range(len(FEATURES))]
@@ -133,6 +128,8 @@ def lloyd(
                 moving.discard(k)
             else:
                 centroids[k] = moved[k]
+    if moving:
+        raise RuntimeError(f"k-means did not settle within {max_iter} passes for k in {sorted(moving)}")
     return {k: F.expr(_nearest(c)) for k, c in centroids.items()}
 
 
@@ -157,10 +154,10 @@ def fit_clusters(
     norm: DataFrame,
     ks: Sequence[int] = (2, 3, 4),
     seeds: Mapping[int, Sequence[str]] | None = None,
-    max_iter: int = 100,
+    max_iter: int = 300,
 ) -> tuple[DataFrame, Sequence[int]]:
     """Stored points with a label column ``k<k>`` for each usable k (k below the point count)."""
-    points = checkpointed(norm).withColumn("p", F.expr(POINT))
+    points = stored(norm, "points").withColumn("p", F.expr(POINT))
     start = start_centroids(points, ks, seeds)
     if not start:
         raise ValueError("clustering needs more series than clusters")
@@ -232,6 +229,42 @@ def silhouette(labelled: DataFrame, ks: Sequence[int], block_rows: int = 512) ->
     return ab.groupBy("k").agg(F.coalesce(F.avg(score), F.lit(-1.0)).alias("score"))
 
 
+def squared_silhouette(labelled: DataFrame, ks: Sequence[int]) -> DataFrame:
+    """Mean silhouette per k with squared Euclidean distances, in one linear pass.
+
+    The sum of squared distances from a point to a cluster follows from the cluster's size, coordinate sums
+    and sum of squared norms, so no pair of points is formed. A point alone in its cluster has distance 0."""
+    size = len(FEATURES)
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"k{k}").alias("c")) for k in ks]))
+    rows = labelled.select("series", "p", each.alias("l")).select("series", "p", "l.k", "l.c")
+    norm = F.aggregate("p", F.lit(0.0), lambda s, x: s + x * x)
+    clusters = rows.groupBy("k", "c").agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.sum(norm).alias("q"),
+        F.array(*[F.sum(F.col("p")[i]) for i in range(size)]).alias("s"),
+    )
+    listed = clusters.groupBy("k").agg(F.collect_list(F.struct("c", "n", "q", "s")).alias("of")).select(
+        F.col("k").alias("k2"), "of"
+    )
+    dot = lambda u, v: F.aggregate(F.zip_with(u, v, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    far = rows.join(listed, F.col("k") == F.col("k2")).select(
+        "k", "c",
+        F.transform(
+            "of",
+            lambda o: F.struct(
+                o["c"].alias("c"), o["n"].alias("n"),
+                F.greatest(F.lit(0.0), o["n"] * norm - 2 * dot(F.col("p"), o["s"]) + o["q"]).alias("d"),
+            ),
+        ).alias("of"),
+    )
+    own = F.filter("of", lambda o: o["c"] == F.col("c"))[0]
+    others = F.transform(F.filter("of", lambda o: o["c"] != F.col("c")), lambda o: o["d"] / o["n"])
+    ab = far.select(
+        "k", F.when(own["n"] > 1, own["d"] / (own["n"] - 1)).otherwise(0.0).alias("a"), F.array_min(others).alias("b")
+    )
+    score = (F.col("b") - F.col("a")) / F.greatest("a", "b", F.lit(1e-8))
+    return ab.groupBy("k").agg(F.coalesce(F.avg(score), F.lit(-1.0)).alias("score"))
+
+
 def best_k(scores: DataFrame) -> int:
     """The k with the highest silhouette; the smaller one among equals."""
     rows = sorted(scores.collect(), key=lambda r: r["k"])
@@ -242,10 +275,10 @@ def name_clusters(labelled: DataFrame, k: int) -> DataFrame:
     """Attach ``cluster_id`` and a name by descending mean index of the cluster."""
     df = labelled.withColumn("cluster_id", F.col(f"k{k}"))
     means = df.groupBy("cluster_id").agg(F.avg("mean_index").alias("m")).collect()
-    order = [r["cluster_id"] for r in sorted(means, key=lambda r: -r["m"])]
+    order = [r["cluster_id"] for r in sorted(means, key=lambda r: (-r["m"], r["cluster_id"]))]
     name = F.lit("Unknown")
-    for c, text in zip(order, NAMES):
-        name = F.when(F.col("cluster_id") == c, text).otherwise(name)
+    for place, c in enumerate(order):
+        name = F.when(F.col("cluster_id") == c, segment_name(place)).otherwise(name)
     return df.withColumn("cluster_id", F.col("cluster_id").cast("bigint")).withColumn(
         "cluster_name", name
     )
@@ -255,16 +288,19 @@ def cluster(
     norm: DataFrame,
     ks: Sequence[int] = (2, 3, 4),
     seeds: Mapping[int, Sequence[str]] | None = None,
+    scores: Callable[[DataFrame, Sequence[int]], DataFrame] = silhouette,
 ) -> DataFrame:
-    """All features with ``cluster_id`` and ``cluster_name`` for the k the silhouette prefers."""
+    """All features with ``cluster_id`` and ``cluster_name`` for the k the silhouette prefers. ``scores`` is the
+    caller's choice: ``silhouette`` (exact Euclidean, quadratic in the series) or ``squared_silhouette``."""
     labelled, usable = fit_clusters(norm, ks, seeds)
-    k = best_k(silhouette(labelled, usable)) if len(usable) > 1 else usable[0]
+    k = best_k(scores(labelled, usable)) if len(usable) > 1 else usable[0]
     return name_clusters(labelled, k)
 
 
 def profiles(clustered: DataFrame) -> DataFrame:
     """Feature means per cluster and the feature with the largest one."""
-    per = clustered.groupBy("cluster_name").agg(*[rnd(F.avg(f), 2).alias(f) for f in FEATURES])
+    per = clustered.groupBy("cluster_id", "cluster_name").agg(*[rnd(F.avg(f), 2).alias(f) for f in FEATURES])
+    per = per.drop("cluster_id")
     top = F.lit(FEATURES[-1])
     best = F.greatest(*FEATURES)
     for f in reversed(FEATURES):

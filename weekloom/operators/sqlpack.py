@@ -110,7 +110,6 @@ def year_on_year(fact: DataFrame, days: int = 364) -> DataFrame:
             rnd(v - p, 2).alias("yoy_change"),
             rnd((v - p) / F.nullif(p, F.lit(0.0)) * 100, 2).alias("yoy_pct_change"),
         )
-        .orderBy("series", F.desc("current_week"))
     )
 
 

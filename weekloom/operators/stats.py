@@ -109,7 +109,15 @@ def _trend_fit(panel: DataFrame) -> DataFrame:
             F.regr_syy(y, x).alias("syy"),
             F.regr_count(y, x).cast("double").alias("n"),
         )
-        .withColumn("r2", F.when(F.col("syy") == 0, 0.0).otherwise(F.least("r2", F.lit(1.0))))
+        .withColumns(
+            {
+                # least() passes over nulls, so an undefined fit is kept null first
+                "r2": F.when(F.col("n") < 2, None).when(F.col("syy") == 0, 0.0)
+                .when(F.col("r2").isNotNull(), F.least("r2", F.lit(1.0))),
+                "slope": F.when(F.col("n") >= 2, F.col("slope")),
+                "intercept": F.when(F.col("n") >= 2, F.col("intercept")),
+            }
+        )
     )
 
 
@@ -117,13 +125,16 @@ def _direction(slope: Column, cuts: tuple[float, ...]) -> Column:
     out = F.lit(TREND_NAMES[-1])
     for cut, name in reversed(list(zip(cuts, TREND_NAMES))):
         out = F.when(slope > cut, name).otherwise(out)
-    return out
+    return F.when(slope.isNotNull(), out)
 
 
 def trend(panel: DataFrame, cuts: tuple[float, ...] = TREND_CUTS) -> DataFrame:
-    """Slope, intercept, fit, standard error and class of the linear trend."""
+    """Slope, intercept, fit, standard error and class of the linear trend. With fewer than two known values
+    all are null; two points have the error 0."""
     c = F.col
-    err = F.sqrt((1 - c("r2")) * c("syy") / c("sxx") / (c("n") - 2))
+    err = F.when(
+        c("n") > 2, F.sqrt((1 - c("r2")) * c("syy") / F.nullif(c("sxx"), F.lit(0.0)) / F.nullif(c("n") - 2, F.lit(0.0)))
+    ).when(c("n") == 2, 0.0)
     return _trend_fit(panel).select(
         "series",
         rnd("slope", 4).alias("slope"),
@@ -135,10 +146,10 @@ def trend(panel: DataFrame, cuts: tuple[float, ...] = TREND_CUTS) -> DataFrame:
 
 
 def trend_p(panel: DataFrame) -> DataFrame:
-    """Two-sided p-value of the slope. A perfect fit has p = 0."""
-    df = F.col("n") - 2
-    t = F.sqrt(F.col("r2") * df / (1 - F.col("r2")))
-    p = F.when(F.col("r2") == 1, 0.0).otherwise(t_two_sided(t, df))
+    """Two-sided p-value of the slope. A perfect fit has p = 0; fewer than three known values have none."""
+    df = F.when(F.col("n") > 2, F.col("n") - 2)
+    t = F.sqrt(F.col("r2") * df / F.nullif(1 - F.col("r2"), F.lit(0.0)))
+    p = F.when(df.isNull(), None).when(F.col("r2") == 1, 0.0).otherwise(t_two_sided(t, df))
     return _trend_fit(panel).select("series", rnd(p, 6).alias("p_value"))
 
 
@@ -152,9 +163,10 @@ def _components(panel: DataFrame, window: int, short: int) -> DataFrame:
     w = by_week()
     before, after = _centred(window)
     half = short // 2
-    near = F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("pos", "idx"))).over(
-        w.rowsBetween(-half, half)
-    )
+    # only series shorter than the window need the rows themselves; for others the list stays empty
+    near = F.collect_list(
+        F.when(F.col("idx").isNotNull() & (F.col("n") < window), F.struct("pos", "idx"))
+    ).over(w.rowsBetween(-half, half))
     df = calendar(panel).select(
         "series",
         "week_ending",
@@ -210,7 +222,7 @@ def season_summary(panel: DataFrame, window: int = 52, short: int = 13) -> DataF
 
 
 def _pair_correlations(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Pairwise-complete Pearson for one cell, from masked matrix products."""
+    """Pairwise-complete Pearson for one cell, from masked matrix products; null where it is undefined."""
     if left.empty or right.empty:
         return pd.DataFrame({"a": [], "b": [], "r": []})
     same = left["cell_i"].iloc[0] == left["cell_j"].iloc[0]
@@ -221,20 +233,22 @@ def _pair_correlations(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         v = np.zeros((len(frame), int(hi - lo) + 1))
         m = np.zeros_like(v)
         for i, (weeks, values) in enumerate(zip(frame["weeks"], frame["vals"])):
-            v[i, weeks - lo] = np.asarray(values) - 100.0
+            x = np.asarray(values, dtype=float)
+            # r does not depend on the origin; the series' own mean keeps the digits at any level
+            v[i, weeks - lo] = x - x.mean() if x.min() < x.max() else 0.0
             m[i, weeks - lo] = 1.0
         return v, m
 
     (va, ma), (vb, mb) = spread(left), spread(right)
     n, sa, sb = ma @ mb.T, va @ mb.T, ma @ vb.T
     cov = n * (va @ vb.T) - sa * sb
-    spread_a, spread_b = n * ((va**2) @ mb.T) - sa**2, n * (ma @ (vb**2).T) - sb**2
+    qa, qb = n * ((va**2) @ mb.T), n * (ma @ (vb**2).T)
+    spread_a, spread_b = qa - sa**2, qb - sb**2
+    flat = (spread_a <= 1e-12 * qa) | (spread_b <= 1e-12 * qb)
     with np.errstate(invalid="ignore", divide="ignore"):
-        r = cov / np.sqrt(spread_a * spread_b)
+        r = np.where(flat, np.nan, cov / np.sqrt(spread_a * spread_b))
     ka, kb = left["series"].to_numpy(), right["series"].to_numpy()
-    keep = np.isfinite(r)
-    if same:
-        keep &= ka[:, None] <= kb[None, :]
+    keep = ka[:, None] <= kb[None, :] if same else np.ones(r.shape, bool)
     i, j = np.nonzero(keep)
     a, b = ka[i], kb[j]
     swap = a > b
@@ -243,7 +257,15 @@ def _pair_correlations(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _upper(panel: DataFrame, block_rows: int) -> DataFrame:
+def _cell_ends(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Greatest and least pair of one cell by (rounded r, a, b)."""
+    pairs = _pair_correlations(left, right)
+    pairs["r"] = np.rint(pairs["r"].astype(float) * 1000) / 1000 + 0.0
+    pairs = pairs[(pairs["a"] < pairs["b"]) & pairs["r"].notna()].sort_values(["r", "a", "b"])
+    return pairs.iloc[[0, -1]] if len(pairs) else pairs
+
+
+def _upper(panel: DataFrame, block_rows: int, cell=_pair_correlations) -> DataFrame:
     week = (F.datediff("week_ending", F.lit("1970-01-04").cast("date")) / 7).cast("int")
     vectors = (
         panel.where(F.col("idx").isNotNull())
@@ -254,7 +276,7 @@ def _upper(panel: DataFrame, block_rows: int) -> DataFrame:
     )
     left, right = grid(vectors, "series", "vals", block_rows)
     pairs = left.groupBy("cell_i", "cell_j").cogroup(right.groupBy("cell_i", "cell_j"))
-    out = pairs.applyInPandas(_pair_correlations, "a string, b string, r double")
+    out = pairs.applyInPandas(cell, "a string, b string, r double")
     return out.withColumn("r", rnd("r", 3))
 
 
@@ -275,8 +297,8 @@ def correlation_lower(panel: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFra
 
 def corr_extremes(panel: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Most and least correlated pair on the rounded value; first pair by name for the least, last
-    for the most, as a stable sort leaves them."""
-    pairs = _upper(panel, block_rows).where("a < b")
+    for the most, as a stable sort leaves them. A cell of the grid returns its own two ends only."""
+    pairs = _upper(panel, block_rows, _cell_ends)
     key = F.struct("r", "a", "b")
     ends = pairs.agg(F.max(key).alias("most"), F.min(key).alias("least"))
     kinds = F.array(
@@ -379,8 +401,8 @@ def welch_p(site: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     )
 
 
-def ranking(panel: DataFrame, weights: Mapping[str, float] = WEIGHTS) -> DataFrame:
-    """Composite of six scores per series and its place. The trend's x counts known values only."""
+def composite_scores(panel: DataFrame, weights: Mapping[str, float] = WEIGHTS) -> DataFrame:
+    """Six scores per series and their weighted sum ``whole``. The trend's x counts known values only."""
     v, month = F.col("idx"), F.month("week_ending")
     known = panel.where(v.isNotNull()).withColumn("x", position().cast("double"))
     per = known.groupBy("series").agg(
@@ -404,11 +426,16 @@ def ranking(panel: DataFrame, weights: Mapping[str, float] = WEIGHTS) -> DataFra
     }
     per = per.select("series", *[s.alias(name) for name, s in scores.items()])
     whole = sum((c(name) * float(weights[name]) for name in scores), zero)
-    placed = with_position(per.withColumn("whole", rnd(whole, 6)), "whole", "series", "rank")
+    return per.withColumn("whole", rnd(whole, 6))
+
+
+def ranking(panel: DataFrame, weights: Mapping[str, float] = WEIGHTS) -> DataFrame:
+    """Composite of six scores per series and its place."""
+    placed = with_position(composite_scores(panel, weights), "whole", "series", "rank")
     return placed.select(
         "rank",
         "series",
-        *[rnd(name, 1).alias(name) for name in scores],
+        *[rnd(name, 1).alias(name) for name in weights],
         rnd("whole", 1).alias("composite"),
     )
 
@@ -419,9 +446,10 @@ def report_facts(
     total: str = TOTAL,
     premium: str | None = None,
     recent: int = 13,
-    first: int = 5,
+    first: int | None = None,
 ) -> DataFrame:
-    """Facts of the management report as ``ord, metric, series, value, note``."""
+    """Facts of the management report as ``ord, metric, series, value, note``; ``first`` limits the facts per
+    series to so many series by name."""
     v = F.col("idx")
     newest_first = F.row_number().over(by_week(descending=True))
     per = (
@@ -469,8 +497,11 @@ def report_facts(
             fact(13, "series_count", F.col("n_series")),
         )
     )
-    top = ranking(panel).where(F.col("rank") == 1)
-    out = out.unionByName(rows(top, fact(30, "top_ranked", F.col("composite"))))
+    # the best by (score, name) in one aggregate; no series is ranked against another
+    scored = composite_scores(panel)
+    best = scored.agg(F.max("whole").alias("whole")).scalar()
+    top = scored.where(F.col("whole") == best).agg(F.min("series").alias("series"), F.max("whole").alias("whole"))
+    out = out.unionByName(rows(top, fact(30, "top_ranked", rnd("whole", 1))))
     if premium is not None:
         pair = per.where(F.col("series").isin(premium, total)).agg(
             F.max(F.when(F.col("series") == premium, F.col("last"))).alias("p"),
@@ -482,7 +513,7 @@ def report_facts(
     out = out.unionByName(
         rows(flagged.withColumn("series", F.lit(total)), fact(70, "anomalies", F.col("n")))
     )
-    named = per.orderBy("series").limit(first)
+    named = per if first is None else per.orderBy("series").limit(first)
     out = out.unionByName(
         rows(
             named,

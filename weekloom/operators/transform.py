@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar
+from ..functions.labels import labels
 from ..functions.numeric import by_week, rnd
 from ..sources.tables import TOTAL
 
@@ -44,8 +45,7 @@ def total_by_week(df: DataFrame, total: str = TOTAL) -> DataFrame:
 def with_total_idx(df: DataFrame, total: str = TOTAL) -> DataFrame:
     """The other series with the total's value of the same week (null where it has none)."""
     rest = df.where(F.col("series") != total)
-    # one row per week of the calendar, so its size does not depend on the data volume
-    lookup = F.broadcast(total_by_week(df, total))
+    lookup = total_by_week(df, total)
     return rest.join(lookup, F.col("week_ending") == F.col("_week"), "left").drop("_week")
 
 
@@ -66,6 +66,28 @@ def melt(wide: DataFrame, ids: Sequence[str], values: Sequence[str] | None = Non
     return wide.unpivot(list(ids), have, "series", "idx")
 
 
+def fact_union(region: DataFrame, site: DataFrame, dim: DataFrame) -> DataFrame:
+    """Both fact tables as one for free SQL: ``region`` or ``site_type`` holds the key, ``label`` its name."""
+    both = region.withColumn("_kind", F.lit("region")).unionByName(site.withColumn("_kind", F.lit("site")))
+    named = labels(both, dim)
+    return named.select(
+        F.when(F.col("_kind") == "region", F.col("series")).alias("region"),
+        F.when(F.col("_kind") == "site", F.col("series")).alias("site_type"),
+        F.col("label_or_key").alias("label"),
+        *[c for c in region.columns if c != "series"],
+        "series",
+    )
+
+
+def all_cells(panel: DataFrame, names: DataFrame) -> DataFrame:
+    """The rows a melted wide table has: every name in every week of the panel, null where it has no value.
+
+    It comes from the long panel; no series becomes a column on the way."""
+    listed = names.agg(F.array_sort(F.collect_set("series"))).scalar()
+    cells = panel.select("week_ending").distinct().select(F.explode(listed).alias("series"), "week_ending")
+    return cells.join(panel.select("series", "week_ending", "idx"), ["series", "week_ending"], "left")
+
+
 def fact(panel: DataFrame) -> DataFrame:
     """Table behind the SQL-style reports: panel with calendar, flag and both trailing means."""
     return rolling(flags(calendar(panel)), 4, 12)

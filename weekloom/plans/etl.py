@@ -13,6 +13,7 @@ from ..functions.numeric import rnd
 from ..operators import quality, stats, transform
 from ..operators.clean import clean_feed
 from ..sources.readers import INGEST_ORDER, read_pair
+from ..sources.scratch import stored as scratch
 from ..sources.writers import save, save_log, save_panel
 
 
@@ -35,8 +36,10 @@ def to_feed(wide: DataFrame, week: str = "week_ending") -> tuple[DataFrame, list
 
 
 def clean_wide(wide: DataFrame, fill_weeks: bool = False) -> Cleaned:
-    """Clean one raw input. Weeks no row has are added only with ``fill_weeks``."""
+    """Clean one raw input. Weeks no row has are added only with ``fill_weeks``. The long feed is stored, so
+    that cleaning, log and counters read the raw file once."""
     feed, series = to_feed(wide)
+    feed = scratch(feed, "feed")
     filled = clean_feed(feed, fill_weeks)
     panel = filled.select("series", "week_ending", F.col("value_filled").alias("idx"))
     return Cleaned(feed, panel, series)
@@ -47,7 +50,7 @@ def enrich(panel: DataFrame, total: str | None = None) -> DataFrame:
     out = transform.fact(panel)
     if total is None:
         return out
-    lookup = F.broadcast(transform.total_by_week(panel, total))  # one row per week
+    lookup = transform.total_by_week(panel, total)
     out = transform.yoy_rows(out).join(
         lookup, F.col("week_ending") == F.col("_week"), "left"
     )
@@ -83,11 +86,13 @@ def run_etl(
     region_labels: Mapping[str, str] = REGION_LABELS,
     fmt: str = "csv",
     mode: str = "errorifexists",
+    generated_at: str | None = None,
+    data_source: str | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Load, validate, clean, enrich and export; returns the stored region and site panels.
 
-    The clean panels are written first and the exports read them back; only the validation log and the
-    run counters look at the raw files again."""
+    The raw files are read once; the clean panels are written first and the exports read them back.
+    ``generated_at`` and ``data_source`` are the caller's texts for the summary's header."""
     raw_region, raw_site = read_pair(spark, region_path, site_path)
     region = clean_wide(raw_region)
     site = clean_wide(raw_site) if raw_site is not None else None
@@ -107,7 +112,8 @@ def run_etl(
     if site_panel is not None:
         save(wide_export(enrich(site_panel), site.series), f"{out}/cleaned_sites", fmt, mode)
     save_log(quality.dq_log(region.feed), f"{out}/validation_log", mode)
-    save(summary_document(region.feed, panel, site_panel, region_labels), f"{out}/summary", "json", mode)
+    document = summary_document(region.feed, panel, site_panel, region_labels, generated_at, data_source)
+    save(document, f"{out}/summary", "json", mode)
     return panel, site_panel
 
 
@@ -116,6 +122,8 @@ def summary_document(
     panel: DataFrame,
     site: DataFrame | None = None,
     region_labels: Mapping[str, str] = REGION_LABELS,
+    generated_at: str | None = None,
+    data_source: str | None = None,
 ) -> DataFrame:
     """The summary as JSON rows: one header with coverage and run counters, then one row per series.
     Rows instead of one nested document keep it writable for any number of series."""
@@ -124,7 +132,9 @@ def summary_document(
     counters = quality.etl_stats(feed, fill_weeks=False)
     packed = counters.select(F.struct(*counters.columns)).scalar()
     head = stats.coverage(panel).select(
-        F.lit("header").alias("kind"), cover, packed.alias("pipeline_stats")
+        F.lit("header").alias("kind"), cover, packed.alias("pipeline_stats"),
+        F.lit(generated_at).cast("string").alias("generated_at"),
+        F.lit(data_source).cast("string").alias("data_source"),
     )
     rows = labels(
         stats.summary(panel, site), dim_series(spark, {**region_labels, **SITE_LABELS})

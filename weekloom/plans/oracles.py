@@ -33,7 +33,7 @@ stacked AS (
   UNION ALL SELECT 'TOTAL', week_ending, sum(qty) FROM weekly GROUP BY week_ending),
 panel AS (
   SELECT *, 100.0::DOUBLE * qty
-    / avg(CASE WHEN year(week_ending) = 1996 THEN qty END) OVER (PARTITION BY series) AS idx
+    / nullif(avg(CASE WHEN year(week_ending) = 1996 THEN qty END) OVER (PARTITION BY series), 0) AS idx
   FROM stacked)"""
 )
 
@@ -104,7 +104,8 @@ copies AS (
   SELECT *, 0 AS copy FROM marked UNION ALL SELECT *, 1 FROM marked WHERE pos % 13 = 0),
 feed AS (
   SELECT series,
-    CASE WHEN pos % 101 = 0 THEN 'unknown'
+    CASE WHEN pos % 101 = 0 THEN 'unknown' WHEN pos % 97 = 0 THEN '99999999'
+         WHEN pos % 29 = 0 THEN strftime(week_ending, '%Y%m%d')
          WHEN pos % 7 = 0 THEN (week_ending - DATE '1899-12-30')::VARCHAR
          ELSE strftime(week_ending, '%Y-%m-%d') END AS week_raw,
     CASE WHEN pos % 17 = 0 THEN NULL WHEN pos % 11 = 0 THEN 'n/a'
@@ -113,9 +114,11 @@ feed AS (
     pos * 2 + copy AS ingest_seq
   FROM copies),
 typed AS (
-  SELECT *, regexp_full_match(week_raw, '[0-9]+') AS serial,
-    CASE WHEN regexp_full_match(week_raw, '[0-9]+') THEN DATE '1899-12-30' + week_raw::INT
-         ELSE try_cast(week_raw AS DATE) END AS week_ending,
+  SELECT *, coalesce(try_cast(week_raw AS INT) BETWEEN 20000 AND 80000, false) AS serial,
+    CASE WHEN regexp_full_match(week_raw, '[0-9]{8}') THEN try_strptime(week_raw, '%Y%m%d')::DATE
+         WHEN coalesce(try_cast(week_raw AS INT) BETWEEN 20000 AND 80000, false)
+           THEN DATE '1899-12-30' + try_cast(week_raw AS INT)
+         WHEN NOT regexp_full_match(week_raw, '[0-9]+') THEN try_cast(week_raw AS DATE) END AS week_ending,
     try_cast(value_raw AS DOUBLE) AS value
   FROM feed)"""
 )
@@ -159,7 +162,7 @@ def _etl() -> dict[str, str]:
             """SELECT series, (count(*) FILTER (value < 50 OR value > 200))::BIGINT AS n_out
             FROM typed GROUP BY series""",
         ),
-        "dq_date_gaps": q(_FEED + "," + _GAPS, "SELECT series, from_week, to_week, missing FROM wide_gaps"),
+        "dq_date_gaps": q(_FEED + "," + _GAPS, "SELECT series, from_week, to_week, missing, missing = 0 AS irregular FROM wide_gaps"),
         "dq_duplicates": q(_FEED + "," + _DUPS, "SELECT series, n_dup FROM dups"),
         "dq_type_check": q(
             _FEED,
@@ -202,6 +205,17 @@ def _etl() -> dict[str, str]:
               UNION ALL SELECT 'gap', series, from_week::VARCHAR || ' to ' || to_week::VARCHAR, missing
                 FROM wide_gaps)""",
         ),
+        "snk_panel_reload": q(_PANEL, f"SELECT series, week_ending, {r('idx', 4)} AS idx FROM panel"),
+        "snk_fact_view": q(
+            _FACT + "," + _SITE_FACT + """,
+both_facts AS (
+  SELECT coalesce('Nation of ' || n_name, series) AS label, false AS is_site, season, above_baseline, week_ending
+  FROM fact LEFT JOIN nation ON n_name = series WHERE year >= 1994
+  UNION ALL SELECT series, true, season, above_baseline, week_ending FROM site_fact WHERE year >= 1994)""",
+            """SELECT label, is_site, season, count(*)::BIGINT AS n,
+              (count(*) FILTER (above_baseline))::BIGINT AS n_above, max(week_ending) AS newest
+            FROM both_facts GROUP BY label, is_site, season""",
+        ),
         "etl_stats": q(
             _FEED_CLEAN + "," + _DUPS,
             """SELECT (SELECT count(*) FROM feed)::BIGINT AS rows_raw,
@@ -211,6 +225,11 @@ def _etl() -> dict[str, str]:
               (SELECT sum(n_dup) FROM dups)::BIGINT AS duplicates_removed""",
         ),
     }
+    out["snk_log_text"] = q(
+        out["dq_log"].removeprefix("WITH RECURSIVE ").replace('SELECT "check", series, detail, n::BIGINT AS n FROM (', """SELECT
+          "check" || ' | ' || series || ' | ' || detail || ' | ' || n AS line FROM ("""),
+        "",
+    )
     names = [f"NATION_{i}" for i in range(25)]
     wide = ", ".join(
         f"{r(f'max(CASE WHEN series = $${n}$$ THEN idx END)', 4)} AS \"{n}\"" for n in names
@@ -439,6 +458,20 @@ line AS (
   FROM clean GROUP BY series)"""
 )
 
+#: Series cut to none (one null), one, two, three or four weeks; p-values have closed forms there.
+_SHORT = (
+    _PANEL
+    + """,
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY series ORDER BY week_ending) AS x, ascii(right(series, 1)) % 5 AS k
+  FROM panel),
+line AS (
+  SELECT series, regr_slope(v, x - 1) AS slope, regr_intercept(v, x - 1) AS icpt,
+    regr_r2(v, x - 1) AS r2, regr_sxx(v, x - 1) AS sxx, regr_syy(v, x - 1) AS syy, count(v) AS n
+  FROM (SELECT series, x, CASE WHEN k > 0 THEN idx END AS v FROM placed WHERE x <= greatest(k, 1))
+  GROUP BY series)"""
+)
+
 _PARTS = (
     _CLEAN
     + """,
@@ -538,7 +571,7 @@ per AS (
     min(idx) AS lo, max(idx) AS hi, min(week_ending) AS d0, max(week_ending) AS d1, count(*) AS n
   FROM aged GROUP BY series),
 total AS (SELECT * FROM per WHERE series = 'TOTAL'),
-named AS (SELECT * FROM per ORDER BY series LIMIT 5),
+named AS (SELECT * FROM per),
 site_per AS (SELECT series, arg_max(idx, week_ending) AS last, avg(idx) AS mean FROM site_clean GROUP BY series),
 season AS (
   SELECT arg_max(wk, {v: round_even(seasonal * 1e9, 0), d: -x}) AS hi,
@@ -614,6 +647,23 @@ def _stats() -> dict[str, str]:
                 ELSE 'STRONG_DOWN' END AS direction
             FROM line""",
         ),
+        "an_trend_short": q(
+            _SHORT,
+            f"""SELECT series, {r('CASE WHEN n >= 2 THEN slope END', 4)} AS slope,
+              {r('CASE WHEN n >= 2 THEN icpt END', 2)} AS intercept,
+              {r('CASE WHEN n >= 2 THEN CASE WHEN syy = 0 THEN 0 ELSE least(r2, 1) END END', 4)} AS r_squared,
+              {r('CASE WHEN n = 2 THEN 0 WHEN n > 2 THEN sqrt((1 - least(r2, 1)) * syy / sxx / (n - 2)) END', 4)}
+                AS std_error,
+              CASE WHEN n < 2 THEN NULL WHEN slope > 0.1 THEN 'STRONG_UP' WHEN slope > 0.03 THEN 'MODERATE_UP'
+                WHEN slope > -0.03 THEN 'FLAT' WHEN slope > -0.1 THEN 'MODERATE_DOWN'
+                ELSE 'STRONG_DOWN' END AS direction
+            FROM line""",
+        ),
+        "an_trend_p_short": q(
+            _SHORT + ", tt AS (SELECT series, n, sqrt(r2 * (n - 2) / (1 - r2)) AS t FROM line)",
+            f"""SELECT series, {r("CASE n WHEN 3 THEN 1 - 2 / pi() * atan(t) WHEN 4 THEN 1 - t / sqrt(2 + t * t) END", 6)}
+              AS p_value FROM tt""",
+        ),
         "an_trend_p": q(
             _TREND + ", tt AS (SELECT series, n - 2.0::DOUBLE AS df, sqrt(r2 * (n - 2) / (1 - r2)) AS t FROM line)",
             f"SELECT series, {r(_t_p('t', 'df'), 6)} AS p_value FROM tt",
@@ -822,7 +872,7 @@ chosen AS (
   SELECT l.series, l.c::BIGINT AS cluster_id FROM labels l
   WHERE l.k = (SELECT k FROM scores ORDER BY score DESC, k LIMIT 1)),
 named AS (
-  SELECT cluster_id, ([{', '.join(f"'{n}'" for n in NAMES)}])[row_number() OVER (ORDER BY avg(mean_index) DESC)]
+  SELECT cluster_id, ([{', '.join(f"'{n}'" for n in NAMES)}])[row_number() OVER (ORDER BY avg(mean_index) DESC, cluster_id)]
     AS cluster_name
   FROM chosen JOIN feat USING (series) GROUP BY cluster_id),
 clustered AS (
@@ -868,6 +918,18 @@ def _segments() -> dict[str, str]:
         ),
         "sg_kmeans": q(km, "SELECT series, k::BIGINT AS k, c::BIGINT AS cluster_id FROM labels"),
         "sg_silhouette": q(km, f"SELECT k::BIGINT AS k, {r('score', 6)} AS score FROM scores"),
+        "sg_silhouette_squared": q(
+            km + """,
+apart AS (
+  SELECT a.k, a.series, a.c AS own, b.c AS other, sum(pow(array_distance(a.p, b.p), 2)) AS dist, count(*) AS n
+  FROM labels a JOIN labels b ON a.k = b.k GROUP BY ALL),
+sides AS (
+  SELECT k, series, max(CASE WHEN own = other THEN if(n > 1, dist / (n - 1), 0) END) AS a,
+    min(CASE WHEN own <> other THEN dist / n END) AS b
+  FROM apart GROUP BY ALL)""",
+            f"""SELECT k::BIGINT AS k, {r('coalesce(avg((b - a) / greatest(a, b, 1e-8)), -1)', 6)} AS score
+            FROM sides GROUP BY k""",
+        ),
         "sg_clusters": q(
             km, "SELECT series, cluster_id, cluster_name, mean_index, current_index FROM clustered"
         ),

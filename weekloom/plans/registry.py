@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar
 from ..functions.labels import labels
-from ..functions.numeric import rnd
+from ..functions.numeric import position, rnd
 from ..operators import alerts, clean, forecast, quality, segment, sqlpack, stats, transform, views
 from ..sources import tables
 from ..sources.feed import raw_feed
-from ..sources.readers import load_stats, read_any
+from ..sources.readers import load_stats, read_any, read_panel
+from ..sources.scratch import scratch_path, stored
+from ..sources.writers import save_log, save_panel
 
 Query = Callable[[SparkSession, str], DataFrame]
 ONE_SERIES = "NATION_7"
@@ -35,6 +37,11 @@ def _clean(s: SparkSession, d: str) -> DataFrame:
     return clean.clean_panel(_panel(s, d))
 
 
+def _stored_clean(s: SparkSession, d: str) -> DataFrame:
+    """Clean panel for queries that run several jobs over it."""
+    return stored(_clean(s, d), "clean")
+
+
 def _site(s: SparkSession, d: str) -> DataFrame:
     return clean.clean_panel(tables.site_panel(s, d))
 
@@ -47,14 +54,8 @@ def _over(source: Query, f: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda s, d: f(source(s, d))
 
 
-def nation_names(s: SparkSession, d: str) -> list[str]:
-    """Column names of the wide table, from the dimension; a wide table has as many columns, so the
-    list is held to Spark's own pivot limit."""
-    limit = int(s.conf.get("spark.sql.pivotMaxValues", "10000"))
-    names = tables.table(s, d, "nation").select("n_name").distinct().limit(limit + 1).collect()
-    if len(names) > limit:
-        raise ValueError(f"more than {limit} series cannot become columns; use the long panel")
-    return sorted(r["n_name"] for r in names)
+def _nations(s: SparkSession, d: str) -> DataFrame:
+    return tables.table(s, d, "nation").select(F.col("n_name").alias("series")).distinct()
 
 
 def _src_dispatch(s: SparkSession, d: str) -> DataFrame:
@@ -63,13 +64,61 @@ def _src_dispatch(s: SparkSession, d: str) -> DataFrame:
 
 
 def _wide(s: SparkSession, d: str) -> DataFrame:
-    names = nation_names(s, d)
+    # the names are the columns of the result, so the driver needs them for its schema
+    names = sorted(r["series"] for r in _nations(s, d).collect())
     wide = transform.pivot_wide(tables.region_panel(s, d, total=False), names)
     return wide.select("week_ending", *[rnd(n, 4).alias(n) for n in names])
 
 
 def _melt(s: SparkSession, d: str) -> DataFrame:
-    return transform.melt(_wide(s, d), ["week_ending"])
+    long = transform.all_cells(tables.region_panel(s, d, total=False), _nations(s, d))
+    return long.select("series", "week_ending", rnd("idx", 4).alias("idx"))
+
+
+def _short(s: SparkSession, d: str) -> DataFrame:
+    """Panel cut to none (one null value) to four weeks per series, by the last sign of its name."""
+    weeks = F.ascii(F.right("series", F.lit(1))) % 5
+    placed = _panel(s, d).select("series", "week_ending", "idx", position().alias("pos"), weeks.alias("k"))
+    return placed.where("pos < greatest(k, 1)").select(
+        "series", "week_ending", F.when(F.col("k") > 0, F.col("idx")).alias("idx")
+    )
+
+
+def _panel_reload(s: SparkSession, d: str) -> DataFrame:
+    """Panel written in its layout and read again."""
+    path = scratch_path(s, "panel") + ".parquet"
+    save_panel(_panel(s, d), path)
+    back = read_panel(s, path)
+    return back.select("series", "week_ending", rnd("idx", 4).alias("idx"))
+
+
+def _log_text(s: SparkSession, d: str) -> DataFrame:
+    """Lines of the validation log as written."""
+    path = scratch_path(s, "log-text")
+    save_log(quality.dq_log(_feed(s, d)), path)
+    return s.read.text(path).select(F.col("value").alias("line"))
+
+
+def _fact_view(s: SparkSession, d: str) -> DataFrame:
+    """Free SQL over the stored union of both fact tables."""
+    path = scratch_path(s, "fact")
+    nation = tables.table(s, d, "nation")
+    dim = nation.select(F.col("n_name").alias("series"), F.concat(F.lit("Nation of "), "n_name").alias("label"))
+    site = transform.fact(tables.site_panel(s, d))
+    save_panel(transform.fact_union(_fact(s, d), site, dim), path)
+    s.read.parquet(path).createOrReplaceTempView("weekly_fact")
+    return s.sql(
+        """SELECT label, region IS NULL AS is_site, season, count(*) AS n,
+             count_if(above_baseline) AS n_above, max(week_ending) AS newest
+           FROM weekly_fact WHERE year >= 1994 GROUP BY label, region IS NULL, season"""
+    )
+
+
+def _silhouette_squared(s: SparkSession, d: str) -> DataFrame:
+    labelled, ks = segment.fit_clusters(_norm(s, d))
+    return segment.squared_silhouette(labelled, ks).select(
+        F.col("k").cast("bigint").alias("k"), rnd("score", 6).alias("score")
+    )
 
 
 def _labels(s: SparkSession, d: str) -> DataFrame:
@@ -132,6 +181,10 @@ def queries() -> dict[str, Query]:
         "dq_serial_dates": _over(_feed, quality.serial_dates),
         "dq_bad_dates": _over(_feed, quality.bad_dates),
         "dq_log": _over(_feed, quality.dq_log),
+        # sinks, read again
+        "snk_panel_reload": _panel_reload,
+        "snk_log_text": _log_text,
+        "snk_fact_view": _fact_view,
         # cleaning
         "clean_dates": _over(
             _feed, lambda f: clean.typed(f).select("series", F.col("week_raw").alias("raw"), "week_ending")
@@ -178,7 +231,7 @@ def queries() -> dict[str, Query]:
         "q02_ranking": _over(_fact, sqlpack.ranking),
         "q03_peak_trough": _over(_fact, sqlpack.peak_trough),
         "q04_mom": _over(_fact, sqlpack.month_on_month),
-        "q05_yoy": _over(_fact, sqlpack.year_on_year),
+        "q05_yoy": _over(_fact, lambda f: sqlpack.year_on_year(f).orderBy("series", F.desc("current_week"))),
         "q06_rolling": _over(_fact, sqlpack.rolling_means),
         "q07_xmas": _over(_fact, sqlpack.peak_season),
         "q08_slump": _over(_fact, sqlpack.slump_season),
@@ -197,6 +250,8 @@ def queries() -> dict[str, Query]:
         "an_coverage": _over(_clean, stats.coverage),
         "an_trend": _over(_clean, stats.trend),
         "an_trend_p": _over(_clean, stats.trend_p),
+        "an_trend_short": _over(_short, stats.trend),
+        "an_trend_p_short": _over(_short, stats.trend_p),
         "an_decompose": _over(_clean, stats.decompose),
         "an_season_summary": _over(_clean, stats.season_summary),
         "an_corr": _over(_clean, stats.correlation),
@@ -220,18 +275,19 @@ def queries() -> dict[str, Query]:
         "sg_normalised": _over(_norm, lambda n: n.select("series", *[rnd(c, 6).alias(c) for c in z])),
         "sg_kmeans": _labels_per_k,
         "sg_silhouette": _silhouette,
+        "sg_silhouette_squared": _silhouette_squared,
         "sg_clusters": _over(
             _clusters,
             lambda c: c.select("series", "cluster_id", "cluster_name", "mean_index", "current_index"),
         ),
         "sg_profiles": _over(_clusters, segment.profiles),
         "sg_pca": _over(_clusters, segment.pca),
-        "sg_pca_variance": _over(_norm, lambda n: segment.pca_variance(segment.checkpointed(n))),
+        "sg_pca_variance": _over(_norm, lambda n: segment.pca_variance(stored(n, "points"))),
         # chart data and alerts
         "ch_month_heatmap": _over(_clean, views.month_heatmap),
         "ch_trends": _over(_clean, views.trends),
         "ch_site": _over(_site, views.site_lines),
-        "ch_ranking": _over(_clean, lambda p: views.ranking_bars(stats.ranking(p), p)),
+        "ch_ranking": _over(_stored_clean, lambda p: views.ranking_bars(stats.ranking(p), p)),
         "ch_corr_lower": _over(_clean, stats.correlation_lower),
         "ch_forecast": _forecast_chart,
         "ch_anomaly_picks": _over(_clean, lambda p: views.anomaly_picks(stats.anomalies(p))),

@@ -11,7 +11,8 @@ from ..sources.writers import save, save_lines
 def report_tables(
     panel: DataFrame, site: DataFrame | None = None, horizon: int = 8
 ) -> dict[str, DataFrame]:
-    """Every report as a named DataFrame; nothing is written."""
+    """Every report as a named DataFrame. Clusters are fitted at once, over points stored in the shared folder;
+    nothing is written elsewhere."""
     clustered = segment.cluster(segment.normalise(segment.features(panel)))
     tables = {
         "descriptive_stats": stats.describe(panel),

@@ -1,7 +1,7 @@
 """A raw long feed with known faults, derived from a panel, for the quality and cleaning steps.
 
-By position in the series: every 7th week is an Excel serial, every 101st date is unreadable,
-every 11th value is text, every 17th value is missing, and every 13th row comes twice, the
+By position in the series: every 7th week is an Excel serial, every 29th is written as yyyyMMdd, every 97th
+is a number that is no date, every 101st date is unreadable, every 11th value is text, every 17th value is missing, and every 13th row comes twice, the
 second time later and one point higher."""
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ def raw_feed(panel: DataFrame) -> DataFrame:
     return rows.withColumn("copy", F.explode(copies)).select(
         "series",
         F.when(pos % 101 == 0, F.lit("unknown"))
+        .when(pos % 97 == 0, F.lit("99999999"))
+        .when(pos % 29 == 0, F.date_format("week_ending", "yyyyMMdd"))
         .when(pos % 7 == 0, serial)
         .otherwise(iso)
         .alias("week_raw"),

@@ -26,11 +26,17 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder; what is written there goes when the session's JVM ends."""
+    path = f"{scratch_folder(spark)}/weekloom/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written to the shared folder and read again: a lineage cut that outlives lost executors."""
     spark = df.sparkSession
-    path = f"{scratch_folder(spark)}/weekloom/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)

@@ -30,21 +30,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def scan_bytes(df: DataFrame) -> int:
-    """Size the optimizer knows for a scan: its files, less the columns not read."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def broadcast_within(df: DataFrame, bound: DataFrame) -> DataFrame:
-    """Broadcast ``df`` if the scan that bounds its size is below Spark's broadcast threshold.
-
-    ``df`` joins the scan to its parents by key and so has no more rows than it; Spark itself would
-    multiply the estimates. Above the threshold the join stays a shuffle join."""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    number = int(limit[:-1]) if limit[-1:].lower() == "b" else int(limit)
-    return F.broadcast(df) if scan_bytes(bound) <= number else df
-
-
 def _weekly(joined: DataFrame, key: str) -> DataFrame:
     return joined.groupBy(key, "week_ending").agg(F.sum("l_quantity").alias("qty"))
 
@@ -65,29 +50,27 @@ def region_weekly(spark: SparkSession, folder: str, only: str | None = None) ->
     if only is not None:
         nation = nation.where(F.col("series") == only)
         customer = customer.join(nation.select("n_nationkey"), at_home, "left_semi")
-    owner = orders.join(
-        broadcast_within(customer, customer), F.col("o_custkey") == F.col("c_custkey")
-    ).select("o_orderkey", "c_nationkey")
-    lines = _lines(spark, folder, "l_orderkey").join(
-        broadcast_within(owner, orders), F.col("l_orderkey") == F.col("o_orderkey")
-    )
+    owner = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
+    lines = _lines(spark, folder, "l_orderkey").join(owner, F.col("l_orderkey") == F.col("o_orderkey"))
     return _weekly(lines, "c_nationkey").join(nation, at_home).select("series", "week_ending", "qty")
 
 
 def site_weekly(spark: SparkSession, folder: str) -> DataFrame:
     """Quantity per part type and week."""
     part = table(spark, folder, "part").select("p_partkey", F.col("p_type").alias("series"))
-    lines = _lines(spark, folder, "l_partkey").join(
-        broadcast_within(part, part), F.col("l_partkey") == F.col("p_partkey")
-    )
+    lines = _lines(spark, folder, "l_partkey").join(part, F.col("l_partkey") == F.col("p_partkey"))
     return _weekly(lines, "series")
 
 
 def with_total(weekly: DataFrame, total: str = TOTAL) -> DataFrame:
-    """Add the all-series total as one more series, from the weekly rows, not from the lines."""
+    """Add the all-series total as one more series, from the weekly rows, not from the lines. A series that
+    already has the total's name stops the job; choose another ``total`` then."""
+    own = F.when(
+        F.col("series") == total, F.raise_error(F.lit(f"a series is called {total}; name the total otherwise"))
+    ).otherwise(F.col("series"))
     return (
         weekly.select(
-            F.explode(F.array("series", F.lit(total))).alias("series"), "week_ending", "qty"
+            F.explode(F.array(own, F.lit(total))).alias("series"), "week_ending", "qty"
         )
         .groupBy("series", "week_ending")
         .agg(F.sum("qty").alias("qty"))
@@ -95,11 +78,10 @@ def with_total(weekly: DataFrame, total: str = TOTAL) -> DataFrame:
 
 
 def to_index(weekly: DataFrame, baseline_year: int = BASELINE_YEAR) -> DataFrame:
-    """``idx`` = quantity as a percentage of the series' mean week in the baseline year."""
-    base = F.avg(F.when(F.year("week_ending") == baseline_year, F.col("qty")))
-    return weekly.withColumn(
-        "idx", F.lit(100.0) * F.col("qty") / base.over(Window.partitionBy("series"))
-    )
+    """``idx`` = quantity as a percentage of the series' mean week in the baseline year; null for a series
+    whose base is missing or zero."""
+    base = F.avg(F.when(F.year("week_ending") == baseline_year, F.col("qty"))).over(Window.partitionBy("series"))
+    return weekly.withColumn("idx", F.lit(100.0) * F.col("qty") / F.nullif(base, F.lit(0.0)))
 
 
 def region_panel(

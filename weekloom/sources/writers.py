@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import stored
+
 
 def save(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
     """Write a result table (``parquet``, ``orc``, ``json`` or ``csv`` with header)."""
@@ -33,7 +35,8 @@ def save_lines(df: DataFrame, path: str, order: str = "ord", mode: str = "errori
 
 
 def save_log(log: DataFrame, path: str, mode: str = "errorifexists") -> bool:
-    """Write the validation log as text, only when there are issues."""
+    """Write the validation log as text, only when there are issues. The log is computed once."""
+    log = stored(log, "log")
     if log.isEmpty():
         return False
     lines = log.select(
