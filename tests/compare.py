@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from datetime import date, datetime
 
@@ -70,6 +71,7 @@ def main(argv: list[str]) -> int:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="weekloom-compare-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
