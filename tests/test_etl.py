@@ -6,8 +6,8 @@ from pathlib import Path
 import pytest
 
 from weekloom.functions.labels import REGION_LABELS
-from weekloom.operators import sqlpack, transform
-from weekloom.plans.etl import run_etl, to_feed
+from weekloom.operators import quality, sqlpack, transform
+from weekloom.plans.etl import clean_wide, run_etl, summary_document, to_feed
 from weekloom.plans.reports import write_reports
 from weekloom.sources.readers import read_wide
 
@@ -124,3 +124,20 @@ def test_report_pack_on_a_stored_panel(spark, run):
     )
     report = sqlpack.series_report(fact, "London").collect()[0]
     assert report["summer_avg"] == pytest.approx(by(means, "series")["London"]["m"], abs=0.006)
+
+
+def test_raw_file_is_read_once(spark, tmp_path):
+    """Everything after loading works from the stored feed, even if the raw file has changed since."""
+    raw_csv(tmp_path / "region.csv", NAMES)
+    part = clean_wide(read_wide(spark, str(tmp_path / "region.csv")))
+    (tmp_path / "region.csv").write_text("week_ending,x\n")
+    assert part.panel.count() == 60 * len(NAMES)
+    assert quality.dq_log(part.feed).count() > 0
+    assert quality.etl_stats(part.feed, fill_weeks=False).first()["rows_raw"] == 62 * len(NAMES)
+
+
+def test_summary_header_has_the_callers_facts(spark, run):
+    _, _, panel, _ = run
+    feed = spark.createDataFrame([("a", "2024-07-07", "1", 0)], "series string, week_raw string, value_raw string, ingest_seq int")
+    head = summary_document(feed, panel, generated_at="2024-07-08", data_source="a.csv").where("kind = 'header'").first()
+    assert (head["generated_at"], head["data_source"]) == ("2024-07-08", "a.csv")
