@@ -38,11 +38,11 @@ def site_lines(site: DataFrame) -> DataFrame:
     )
 
 
-def ranking_bars(ranked: DataFrame, panel: DataFrame) -> DataFrame:
+def ranking_bars(ranked: DataFrame) -> DataFrame:
     """Composite scores as bars, lowest first: the best, the bottom three, the rest. Ranks are unique,
     so the bar is counted from the other end."""
-    per = panel.groupBy("series").agg(F.max("idx").alias("v"))
-    bars = ranked.select("series", "rank", "composite").withColumn("_n", per.agg(F.count("v")).scalar())
+    size = ranked.agg(F.count(F.lit(1))).scalar()
+    bars = ranked.select("series", "rank", "composite").withColumn("_n", size)
     bars = bars.withColumn("bar", F.col("_n") + 1 - F.col("rank"))
     group = (
         F.when(F.col("rank") == 1, "best").when(F.col("bar") <= 3, "bottom").otherwise("rest")
