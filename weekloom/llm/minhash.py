@@ -129,7 +129,8 @@ def rare_shingle_pairs(sets: DataFrame) -> DataFrame:
     """Pairs ``a < b`` of different components that share one of each other's rarest shingles.
 
     ``sets``: ``rep, comp, s``. Only shingles that occur in two components are joined, and one side leaves
-    out the shingle's most frequent component, so a large component is never paired with itself."""
+    out the shingle's most frequent component, so a large component is never paired with itself. A pair counts
+    only if the shingle is early enough in both orders for the common shingles the two sizes ask for."""
     rows = sets.select("rep", "comp", F.size("s").alias("n"), F.explode("s").alias("h"))
     seen = rows.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     ranked = (
@@ -137,20 +138,25 @@ def rare_shingle_pairs(sets: DataFrame) -> DataFrame:
         .groupBy("rep", "comp", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("o"))
     )
     take = F.col("n") - F.ceil(F.col("n") * PERCENT / 100).cast("int") + 1
-    prefix = ranked.select("rep", "comp", "n", F.explode(F.slice("o", F.lit(1), take)).alias("x")).select(
-        "rep", "comp", "n", F.col("x.h").alias("h")
+    prefix = ranked.select("rep", "comp", "n", F.posexplode(F.slice("o", F.lit(1), take)).alias("at", "x")).select(
+        "rep", "comp", "n", "at", F.col("x.h").alias("h")
     )
     prefix = stored(prefix, "near-prefix")
     by_comp = prefix.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("c"))
     mixed = by_comp.groupBy("h").agg(
         F.count(F.lit(1)).alias("comps"), F.max(F.struct("c", "comp")).alias("top")
     ).where("comps > 1").select(F.col("h").alias("k"), F.col("top.comp").alias("main"))
-    rows = prefix.join(mixed, F.col("h") == F.col("k")).select("h", "rep", "comp", "n", "main")
+    rows = prefix.join(mixed, F.col("h") == F.col("k")).select("h", "rep", "comp", "n", "at", "main")
     few = rows.where("comp <> main").select(
-        F.col("h").alias("h2"), F.col("rep").alias("rep2"), F.col("comp").alias("comp2"), F.col("n").alias("n2")
+        F.col("h").alias("h2"), F.col("rep").alias("rep2"), F.col("comp").alias("comp2"),
+        F.col("n").alias("n2"), F.col("at").alias("at2"),
     )
+    # 75 % similarity means at least 3/7 of both sizes in common, which bounds the places of the first one
+    common = F.expr("(3 * (n + n2) + 6) div 7")
+    early = (F.col("at") <= F.col("n") - common) & (F.col("at2") <= F.col("n2") - common)
     return rows.join(
-        few, (F.col("h") == F.col("h2")) & (F.col("comp") != F.col("comp2")) & _similar_size("n", "n2")
+        few,
+        (F.col("h") == F.col("h2")) & (F.col("comp") != F.col("comp2")) & _similar_size("n", "n2") & early,
     ).select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
 
 
