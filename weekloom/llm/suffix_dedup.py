@@ -7,7 +7,7 @@ Texts are judged as UTF-8 bytes, over the whole table, on the input as it is.
    Equal windows have equal anchors, so windows are sharded by anchor: one narrow row per run of windows with
    one anchor. A run is searched only if its anchor occurs in another place as well.
 3. *Shards.* The bytes of such runs go to the shard of their anchor. A shard is worked off in pieces of whole
-   anchors: suffix array by induced sorting, permuted common prefixes, and every window start whose prefix with
+   anchors, of equal runs one: suffix array by induced sorting, permuted common prefixes, and every window start whose prefix with
    a neighbour reaches ``LENGTH``.
 4. *Very common anchors* (``HOT`` runs or more, such as a passage in a third of the texts) are no shard of their
    own: their windows are counted by 64-bit hash, within each task first, and those with two places are
@@ -118,7 +118,7 @@ def anchors(texts: DataFrame) -> DataFrame:
     """``anchor, name, n_bytes, first, last, own`` of every run of windows."""
 
     def run(batches):
-        for part, data, offsets in chunks(_first_seen(batches), "body", PIECE_BYTES):
+        for part, data, offsets in chunks(_first_seen(batches), "body", PIECE_BYTES // 2):
             text, anchor, first, last, own = anchor_runs(data, offsets)
             row = pa.array(text)
             yield pa.RecordBatch.from_arrays(
@@ -133,7 +133,7 @@ def anchors(texts: DataFrame) -> DataFrame:
 def repeated_anchors(rows: DataFrame) -> DataFrame:
     """Runs whose anchor occurs in two places, with ``hot`` for very common anchors; one row per text with the
     list of its runs (as many as the text has at most)."""
-    place = F.struct("name", "n_bytes", "first")
+    place = F.xxhash64("name", "n_bytes", "first")
     shared = rows.groupBy("anchor").agg(
         F.min(place).alias("lo"), F.max(place).alias("hi"), F.max("own").alias("twice"),
         (F.count(F.lit(1)) >= HOT).alias("hot"),
@@ -212,6 +212,29 @@ def _span_rows(found) -> pa.RecordBatch:
 SPANS = "name bigint, n_bytes bigint, lo bigint, hi bigint"
 
 
+def _search(rows: list[tuple]) -> list[np.ndarray]:
+    """Starts of repeated windows in each segment of a piece. Segments are grouped by anchor; of equal ones, all of
+    whose windows are repeats of each other, one is searched, and only next to different ones."""
+    groups: dict[int, dict[bytes, list[int]]] = {}
+    for i, r in enumerate(rows):
+        groups.setdefault(r[0], {}).setdefault(r[5], []).append(i)
+    starts = [np.zeros(0, np.int64)] * len(rows)
+    open_rows: list[int] = []
+    for contents in groups.values():
+        for same in contents.values():
+            if len(same) > 1:
+                for i in same:
+                    starts[i] = np.arange(rows[i][4] - rows[i][3] + 1)
+            if len(contents) > 1 or len(same) == 1:
+                open_rows.append(same[0])
+    if open_rows:
+        found = repeated_starts([rows[i][5] for i in open_rows], [rows[i][4] - rows[i][3] + 1 for i in open_rows])
+        for i, s in zip(open_rows, found, strict=True):
+            if not len(starts[i]):
+                starts[i] = s
+    return starts
+
+
 def search_shards(parts: DataFrame) -> DataFrame:
     """Spans of repeated windows within segments, shard by shard."""
 
@@ -222,8 +245,7 @@ def search_shards(parts: DataFrame) -> DataFrame:
         def flush():
             distinct = {(r[1], r[2], r[3]): r for r in held}
             rows = list(distinct.values())
-            starts = repeated_starts([r[5] for r in rows], [r[4] - r[3] + 1 for r in rows])
-            return _span_rows((r[1], r[2], s + r[3]) for r, s in zip(rows, starts, strict=True))
+            return _span_rows((r[1], r[2], s + r[3]) for r, s in zip(rows, _search(rows), strict=True))
 
         for b in batches:
             for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -262,7 +284,7 @@ def search_windows(texts: DataFrame) -> DataFrame:
             )
 
     windows = stored(texts.mapInArrow(run, columns), "suffix-windows")
-    place = F.struct("name", "n_bytes", "start")
+    place = F.xxhash64("name", "n_bytes", "start")
     repeated = windows.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi")
     found = windows.join(repeated.select(F.col("h").alias("k")), F.col("h") == F.col("k"), "left_semi")
     listed = found.groupBy("name", "n_bytes").agg(F.sort_array(F.collect_set("start")).alias("starts"))
