@@ -65,6 +65,15 @@ def test_op2_planted(spark):
     assert got == sorted(repeated(rows))
 
 
+def test_op2_periods(spark):
+    """Lines repeated within one document only, with periods around the reach of an anchor."""
+    random.seed(6)
+    line = lambda n: "".join(random.choice("abcdefghij ") for _ in range(n - 1)) + "\n"
+    rows = [(100 * p + k, line(50) + line(p) * k + line(70)) for p in range(97, 106) for k in (3, 6)]
+    got = suffix_dedup.repeated_bytes(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(repeated(rows))
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.binary(min_size=1, max_size=80), st.integers(1, 6))
 def test_suffix_array(data, letters):

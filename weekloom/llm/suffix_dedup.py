@@ -68,7 +68,8 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray):
     valid = np.zeros(len(least) + 2 * (_SPAN - 1), np.uint64)
     valid[place + _SPAN - 1] = anchor
     chosen = np.flatnonzero(grams == sliding(valid, _SPAN, np.maximum, 0)) if len(head) else head
-    twin = (grams[chosen[1:]] == grams[chosen[:-1]]) & (np.diff(chosen) < _SPAN)
+    # At a distance of _SPAN no window holds both places, but the windows before and after may be one run.
+    twin = (grams[chosen[1:]] == grams[chosen[:-1]]) & (np.diff(chosen) <= _SPAN)
     # Windows that hold both places start between these two; all runs there are searched.
     run = np.searchsorted(place[head], np.stack([chosen[1:][twin] - _SPAN + 1, chosen[:-1][twin]]), side="right") - 1
     own = np.zeros(len(head) + 1, np.int64)
