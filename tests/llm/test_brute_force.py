@@ -249,6 +249,41 @@ def test_op8_scores_equal_exhaustive_search(spark):
     assert got == want and got
 
 
+def test_op8_near_copies(spark):
+    """Planted copies of the shortest and other items: changed words, cut ends, and answers of their own."""
+    random.seed(5)
+    word = lambda: "".join(random.choice("abcdefghij") for _ in range(7))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    size = lambda i: 15 + 4 * (i // 4)
+    items = [(i, prose(size(i)), [None, "", prose(1), prose(5)][i % 4]) for i in range(40)]
+
+    def changed(text, places):
+        return " ".join(word() if k in places else w for k, w in enumerate(text.split()))
+
+    docs, want, answered = [], set(), set()
+    for i, text, answer in items:
+        n = size(i)
+        copies = [text, " ".join(text.split()[: round(0.85 * n)]), " ".join(text.split()[-round(0.85 * n) :])]
+        copies += [changed(text, {k}) for k in range(n)]
+        copies += [changed(text, set(random.sample(range(n), 2))) for _ in range(20)]
+        for copy in copies:
+            docs.append((len(docs), f"{prose(20)} {copy} {prose(20)}"))
+            want.add((docs[-1][0], i))
+        docs.append((len(docs), " ".join(random.sample(text.split(), n))))  # the words alone are no copy
+        if answer:
+            docs.append((len(docs), f"{prose(9)} {text} {answer} {prose(9)}"))
+            answered.add((docs[-1][0], i))
+    df = spark.createDataFrame(docs, "doc_id int, text string")
+    bench = spark.createDataFrame(items, "item_id int, text string, answer string")
+    rows = decontaminate.find_leaks(df, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == want | answered
+    assert all(r.answer_overlap is None and r.question_overlap >= decontaminate.OVERLAP for r in rows)
+    rows = decontaminate.find_leaks(df, bench, answer_col="answer").collect()
+    got = {(r.doc_id, r.item_id) for r in rows}
+    assert got == {(d, i) for d, i in want if i % 4 < 2} | answered
+    assert {(r.doc_id, r.item_id) for r in rows if r.answer_overlap is not None} == answered
+
+
 def test_op3_native(spark, folder):
     plan = llm.op3_chat_format(spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)

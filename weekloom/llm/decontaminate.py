@@ -11,8 +11,9 @@ every (passage, item) with a score of ``least`` or more is retrieved, by block-m
 * Impact maxima of the essential terms in a passage, plus the most the other terms could add, bound the
   scores of a block; only blocks whose bound reaches ``least`` are scored, and then exactly.
 
-A retrieved pair is verified: a share of the 3-word sequences of the item's question, and of its answer, must
-be in the passage. The answer is the last third of the item's words unless a column has it.
+A retrieved pair is verified in its passage. Without an answer, a share of the item's words must lie in 2-word
+sequences that the passage has too, wherever in the item they are. With an answer (from a column), a share of
+the 3-word sequences of the question, and of those of the answer, must be in the passage.
 
 More items mean more shards: each shard is a bounded index shipped to the workers, and a further pass.
 Defined results: null or empty texts and items match nothing; repeated rows are searched one by one; without
@@ -49,15 +50,55 @@ def term_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return PrefixHash(data).of(starts, ends), at
 
 
-def sequences(h: np.ndarray, width: int) -> np.ndarray:
-    """Distinct hashes of ``width`` words in a row; of all words if there are fewer."""
-    if not len(h):
-        return h
-    width = min(width, len(h))
+def rolled(h: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of ``width`` words in a row, in order."""
+    if not width or len(h) < width:
+        return h[:0]
     total = np.zeros(len(h) - width + 1, np.uint64)
     for k in range(width):
         total = mix(total + h[k : len(h) - width + 1 + k])
-    return np.unique(total)
+    return total
+
+
+class Passage:
+    """Words of a passage, and their distinct sequences by width."""
+
+    def __init__(self, h: np.ndarray):
+        self.h = h
+        self.known: dict[int, np.ndarray] = {}
+
+    def sequences(self, width: int) -> np.ndarray:
+        if width not in self.known:
+            self.known[width] = np.unique(rolled(self.h, width))
+        return self.known[width]
+
+
+@dataclass(frozen=True)
+class Part:
+    """Sequences of an item, in order; an item shorter than ``width`` is one sequence."""
+
+    h: np.ndarray
+    width: int
+
+    @classmethod
+    def of(cls, h: np.ndarray, width: int) -> Part:
+        width = min(width, len(h))
+        return cls(rolled(h, width), width)
+
+    def hits(self, passage: Passage) -> np.ndarray:
+        return np.isin(self.h, passage.sequences(self.width))
+
+    def sequence_share(self, passage: Passage) -> float:
+        """Share of the distinct sequences that the passage has; 1 if there are none."""
+        return float(self.hits(passage)[np.unique(self.h, return_index=True)[1]].mean()) if len(self.h) else 1.0
+
+    def word_share(self, passage: Passage) -> float:
+        """Share of the words that lie in a sequence of the passage; 1 if there are none."""
+        hits = self.hits(passage)
+        covered = np.zeros(len(hits) + max(0, self.width - 1), bool)
+        for k in range(self.width):
+            covered[k : k + len(hits)] |= hits
+        return float(covered.mean()) if len(covered) else 1.0
 
 
 @dataclass(frozen=True)
@@ -68,9 +109,12 @@ class Block:
 
 
 class ItemIndex:
-    """Inverted index of one shard of items."""
+    """Inverted index of one shard of items.
+
+    An item without an answer is verified as a whole if ``whole`` is set, as the operators do. Else its last third
+    takes the place of an answer, and a part under three words is in no passage."""
 
-    def __init__(self, items: list[tuple[object, str, str | None]], least: float = LEAST):
+    def __init__(self, items: list[tuple[object, str, str | None]], least: float = LEAST, whole: bool = False):
         self.ids = [i for i, _, _ in items]
         self.least = least
         h, at = term_hashes(pa.array([f"{q} {a}" if a else q for _, q, a in items], pa.string()))
@@ -79,8 +123,13 @@ class ItemIndex:
         self.parts = []
         for k, (_, _, a) in enumerate(items):
             own = h[at[k] : at[k + 1]]
-            tail = answer_at[k + 1] - answer_at[k] if a else -(-len(own) // 3)
-            self.parts.append((sequences(own[: len(own) - tail], 3), sequences(own[len(own) - tail :], 3)))
+            cut = len(own) - (answer_at[k + 1] - answer_at[k] if a else -(-len(own) // 3))
+            if a:
+                self.parts.append((Part.of(own[:cut], 3), Part.of(own[cut:], 3)))
+            elif whole:
+                self.parts.append((Part.of(own, 2), None))
+            else:
+                self.parts.append(tuple(Part(Part.of(x, 3).h, 3) for x in (own[:cut], own[cut:])))
         self.stride = int(max(16, lengths.max(initial=0)))
         self.vocabulary, term = np.unique(h, return_inverse=True)
         pairs, tf = np.unique(owners(at) * max(1, len(self.vocabulary)) + term, return_counts=True)
@@ -115,8 +164,9 @@ class ItemIndex:
         )
         self.posting_at = np.concatenate([[0], np.cumsum(n_post)])
 
-    def search(self, column: pa.Array) -> list[tuple[int, int, float, float, float]]:
-        """(text, item, score, question share, answer share) of the verified pairs of a few texts."""
+    def search(self, column: pa.Array) -> list[tuple[int, int, float, float, float | None]]:
+        """(text, item, score, question share, answer share) of the verified pairs of a few texts; without an
+        answer, the share of the whole item and null."""
         if not len(self.vocabulary):
             return []
         h, at = term_hashes(column)
@@ -137,7 +187,7 @@ class ItemIndex:
         final[first_window[1:][steps > 0] - 1] = True
         both = bound.copy()
         both[:-1] += np.where(final[:-1, None], 0.0, bound[1:])
-        found: dict[tuple[int, int], tuple[float, float, float]] = {}
+        found: dict[tuple[int, int], tuple[float, float, float | None]] = {}
         places = np.argwhere((both > 0) & (both + self.rest >= self.least - 1e-9))
         last, present = -1, None
         for w, b in places.tolist():
@@ -146,18 +196,18 @@ class ItemIndex:
                 start = at[text] + (w - first_window[text]) * self.stride
                 own = h[start : min(at[text + 1], start + 2 * self.stride)]
                 near = term[start : start + len(own)]
-                present, grams, last = np.unique(near[self.vocabulary[near] == own]), None, w
+                present, passage, last = np.unique(near[self.vocabulary[near] == own]), Passage(own), w
             block = self.blocks[b]
             scores = block.impacts[np.isin(block.terms, present, assume_unique=True)].sum(axis=0)
             for k in np.flatnonzero(scores >= self.least - 1e-9):
-                if grams is None:
-                    grams = sequences(own, 3)
                 item = int(block.items[k])
                 q, a = self.parts[item]
-                shares = [np.isin(p, grams, assume_unique=True).mean() if len(p) else 1.0 for p in (q, a)]
+                shares = (q.word_share(passage),) if a is None else (q.sequence_share(passage), a.sequence_share(passage))
                 if min(shares) >= OVERLAP:
                     key = (text, item)
-                    found[key] = max(found.get(key, (0.0, 0.0, 0.0)), (float(scores[k]), *map(float, shares)))
+                    hit = (float(scores[k]), *shares) if a else (float(scores[k]), *shares, None)
+                    if key not in found or hit[: 1 + len(shares)] > found[key][: 1 + len(shares)]:
+                        found[key] = hit
         return [(*k, *v) for k, v in sorted(found.items())]
 
 
@@ -177,13 +227,14 @@ def item_shards(items: DataFrame, id_col: str = "item_id", text_col: str = "text
         part = rows.where(F.pmod(F.xxhash64("i", "q"), F.lit(shards)) == k).collect()
         if part:
             rank = lambda x: (x[0] is None, x[0] or 0 if not isinstance(x[0], str) else x[0], x[1])
-            out.append(ItemIndex(sorted(((r["i"], r["q"], r["a"]) for r in part), key=rank)))
+            out.append(ItemIndex(sorted(((r["i"], r["q"], r["a"]) for r in part), key=rank), whole=True))
     return out
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", answer_col: str | None = None) -> DataFrame:
-    """``doc_id, item_id, score, question_overlap, answer_overlap`` of every verified pair."""
+    """``doc_id, item_id, score, question_overlap, answer_overlap`` of every verified pair. For an item without an
+    answer, ``question_overlap`` is the share of the whole item and ``answer_overlap`` is null."""
     kinds = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
     item_type = to_arrow_type(items.schema[item_col].dataType)
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, question_overlap double, answer_overlap double"
