@@ -185,6 +185,19 @@ def test_op6_random_field():
         assert tuple(t) == best[1]
 
 
+def test_op6_neighbours_in_long_texts():
+    """The same words have the same features in a short and in a long text, however far their neighbours are."""
+    prose = "plain words without any sign " * 40
+    sentences = [t for t, _ in pii.training_rows(1)][:200]
+    for n in (1, 79, 81, 200):
+        sentences += [f"my key is{' ' * n}ab12cd34ef56gh now", f"key is ab12cd34ef56gh{' ' * n}now", f"my key {'x' * n}7 ok"]
+    for t in sentences:
+        short = f"so it is {t} and on"
+        long = prose + short + " " + prose
+        assert [r.features for r in pii.runs(long)] == [r.features for r in pii.runs(short)]
+        assert [[a - len(prose) for a in r.starts] for r in pii.runs(long)] == [r.starts for r in pii.runs(short)]
+
+
 def test_op7_components(spark, folder, texts):
     want = near_components(texts)
     got = llm.op7_near_duplicates(spark, folder).collect()

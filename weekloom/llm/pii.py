@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -38,7 +39,7 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_BETWEEN = " \t\n\x0b\x0c\r"
+_SIGN = re.compile("[0-9@]")
 _SIGNS = np.zeros(256, np.int64)
 _SIGNS[48:58] = 1
 _SIGNS[ord("@")] = 1
@@ -156,49 +157,25 @@ class Run:
 
 
 def runs(text: str) -> list[Run]:
-    """Runs of such words in order, with their neighbours as features."""
-    words = list(_WORD.finditer(text)) if len(text) < 400 else None
-    if words is None:
-        # In a long text only the surroundings of digits and @ are split into words.
-        places = [m.start() for m in re.finditer(r"[0-9@]+", text)]
-        spans: list[list[int]] = []
-        for p in places:
-            lo, hi = max(0, p - 80), min(len(text), p + 80)
-            if spans and lo <= spans[-1][1]:
-                spans[-1][1] = hi
-            else:
-                spans.append([lo, hi])
-        words = []
-        for lo, hi in spans:
-            done = words[-1].end() if words else 0
-            if hi <= done:
-                continue
-            lo = max(lo, done)
-            while lo > done and text[lo - 1] not in _BETWEEN:
-                lo -= 1
-            while hi < len(text) and text[hi] not in _BETWEEN:
-                hi += 1
-            words += _WORD.finditer(text, lo, hi)
+    """Runs of such words in order, with their neighbours, however far away, as features."""
     out: list[Run] = []
-    marked = [bool(re.search(r"[0-9@]", m[0])) for m in words]
-    k = 0
-    while k < len(words):
-        if not marked[k]:
-            k += 1
-            continue
-        first = k
-        while k < len(words) and marked[k] and (k == first or words[k].start() - words[k - 1].end() <= 2):
-            k += 1
-        group = words[first:k]
-        features = []
-        for i, m in enumerate(group, first):
-            before = words[i - 1][0] if i else None
-            before2 = words[i - 2][0] if i > 1 else None
-            after = words[i + 1][0] if i + 1 < len(words) else None
-            names = [*_word_features(m[0]), f"before {_near(before)}", f"before two {_near(before2)}",
-                     f"after {_near(after)}", "any"]
-            features.append([crc32(x.encode()) % FEATURES for x in names])
-        out.append(Run([m.start() for m in group], [m.end() for m in group], features))
+    before = before2 = waiting = None
+    end = 0
+    for m in chain(_WORD.finditer(text), [None]):
+        word = m and m[0]
+        follows = waiting is not None
+        if follows:
+            names = [*waiting, f"after {_near(word)}", "any"]
+            out[-1].features.append([crc32(x.encode()) % FEATURES for x in names])
+            waiting = None
+        if m and _SIGN.search(word):
+            if not follows or m.start() - end > 2:
+                out.append(Run([], [], []))
+            out[-1].starts.append(m.start())
+            out[-1].ends.append(m.end())
+            waiting = [*_word_features(word), f"before {_near(before)}", f"before two {_near(before2)}"]
+            end = m.end()
+        before, before2 = word, before
     return out
 
 
