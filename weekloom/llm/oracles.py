@@ -97,5 +97,37 @@ FROM ppm LEFT JOIN bad USING (r)
 """
 
 
+def similar_sql(width: int, percent: int, last: str) -> str:
+    """Components of documents whose word shingle sets reach a Jaccard similarity, by all shared shingles."""
+    words = " || ' ' || ".join(f"w[i + {k}]" for k in range(width))
+    return rf"""
+WITH RECURSIVE tokens AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents
+), sets AS (
+  SELECT r, doc_id, CASE WHEN len(w) >= {width}
+    THEN list_distinct(list_transform(range(1, len(w) - {width} + 2), lambda i: {words}))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM tokens
+), shingles AS (
+  SELECT r, doc_id, len(s) AS n, unnest(s) AS h FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.h = b.h AND a.r < b.r
+  GROUP BY a.r, b.r, a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= {percent} * (any_value(a.n) + any_value(b.n) - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reach.a, l.b FROM reach JOIN (SELECT a, b FROM links UNION SELECT b, a FROM links) l ON l.a = reach.b
+), least AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, c AS component_id{last} FROM sets JOIN least ON a = doc_id
+"""
+
+
+OP7 = similar_sql(5, 75, ", doc_id = c AS kept")
+OP11 = similar_sql(3, 90, "")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": OP3, "op10_quality_rules": OP10}
+    return {
+        "op3_chat_format": OP3, "op7_near_duplicates": OP7, "op10_quality_rules": OP10,
+        "op11_jaccard_join": OP11,
+    }

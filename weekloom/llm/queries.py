@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language, minhash, packing, pii, quality_model, quality_rules, suffix_dedup, tokens
+from . import (
+    chat_format, decontaminate, jaccard_join, language, minhash, packing, pii, quality_model, quality_rules,
+    suffix_dedup, tokens,
+)
 from .common import documents, source_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +112,11 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Component of every document under links of 90 % common 3-word shingles."""
+    return jaccard_join.similar_texts(documents(spark, folder))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_model": op1_quality_model,
@@ -121,4 +129,5 @@ def queries() -> dict[str, Query]:
         "op2_repeated_bytes": op2_repeated_bytes,
         "op3_chat_format": op3_chat_format,
         "op10_quality_rules": op10_quality_rules,
+        "op11_jaccard_join": op11_jaccard_join,
     }
