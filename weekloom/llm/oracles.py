@@ -103,7 +103,8 @@ def similar_sql(width: int, percent: int, last: str) -> str:
     return rf"""
 WITH RECURSIVE tokens AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents
 ), sets AS (
   SELECT r, doc_id, CASE WHEN len(w) >= {width}
     THEN list_distinct(list_transform(range(1, len(w) - {width} + 2), lambda i: {words}))
@@ -125,9 +126,86 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, c AS component_id{last} FROM sets J
 OP7 = similar_sql(5, 75, ", doc_id = c AS kept")
 OP11 = similar_sql(3, 90, "")
 
+OP12 = r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM texts
+), totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang
+), counts AS (
+  SELECT lang, size, phrase, count(*) AS f FROM (
+    SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2),
+      lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+    FROM pieces, (SELECT unnest([1, 2, 3, 4]) AS size))
+  GROUP BY ALL HAVING count(*) >= 30
+), candidates AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size > 1
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r, ((2000000::HUGEINT * c.a) // (l.f + r.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+    JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+    JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:c.size], ' ')
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, max(a) AS most
+  FROM candidates, (SELECT unnest([1, 2, 3]) AS i), (SELECT unnest([2, 3]) AS k)
+  WHERE k < size AND i + k - 1 <= size GROUP BY ALL
+), ranked AS (
+  SELECT v.*, row_number() OVER (PARTITION BY v.lang ORDER BY score DESC, a DESC, v.phrase) AS rank
+  FROM lowest v LEFT JOIN inside USING (lang, phrase) WHERE most IS NULL OR 100 * most < 80 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+OP13 = r"""
+WITH RECURSIVE steps AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS tab
+), found AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents
+), runs AS (
+  SELECT run, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS b, count(*) AS n
+  FROM found WHERE length(run) >= 7 GROUP BY ALL
+), hashed AS (
+  SELECT run, n, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(len(b) // 2), lambda i: ('0x' || b[2 * i + 1:2 * i + 2])::BIGINT)),
+    lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295::BIGINT) AS h
+  FROM runs, steps
+), vocab AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 31 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), dropped AS (
+  SELECT word, i, word[1:i - 1] || word[i + 1:] AS d FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM vocab)
+), longer AS (
+  SELECT d.word, v.word AS other FROM dropped d JOIN vocab v ON d.d = v.word
+), near AS (
+  SELECT word, other FROM longer UNION SELECT other, word FROM longer
+  UNION SELECT a.word, b.word FROM dropped a JOIN dropped b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+), best AS (
+  SELECT near.word, o.word AS other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near
+  FROM near JOIN vocab o ON o.word = near.other
+  QUALIFY row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, o.word) = 1
+), forms AS (
+  SELECT v.word, CASE WHEN other_n >= 10 * n THEN other END AS form, n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+  FROM vocab v LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, word AS root, 0 AS step FROM forms
+  UNION ALL SELECT chain.word, f.form, step + 1 FROM chain JOIN forms f ON f.word = chain.root WHERE f.form IS NOT NULL
+)
+SELECT word, form, root, n, n_near, form_n
+FROM forms JOIN (SELECT word, arg_max(root, step) AS root FROM chain GROUP BY word) USING (word)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_chat_format": OP3, "op7_near_duplicates": OP7, "op10_quality_rules": OP10,
-        "op11_jaccard_join": OP11,
+        "op11_jaccard_join": OP11, "op12_collocations": OP12,
+        "op13_spelling_variants": OP13,
     }

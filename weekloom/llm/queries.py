@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import stored
 from . import (
-    chat_format, decontaminate, jaccard_join, language, minhash, packing, pii, quality_model, quality_rules,
-    suffix_dedup, tokens,
+    chat_format, collocations, decontaminate, jaccard_join, language, minhash, packing, pii, quality_model,
+    quality_rules, spelling, suffix_dedup, tokens,
 )
 from .common import documents, source_table
 
@@ -117,6 +118,22 @@ def op11_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.similar_texts(documents(spark, folder))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """Best phrases of every language."""
+    return collocations.collocations(documents(spark, folder))
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents, a letter dropped from one run in 31, with their more frequent near words."""
+    runs = spelling.letter_runs(documents(spark, folder), spelling.SHORTEST).select(
+        "run", F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run")).alias("h")
+    )
+    place = F.pmod("h", F.length("run").cast("bigint")).cast("int")
+    dropped = F.concat(F.substring("run", F.lit(1), place), F.substring("run", place + 2, F.length("run")))
+    word = F.when(F.col("h") % 31 == 0, dropped).otherwise(F.col("run"))
+    return spelling.variants(stored(spelling.word_counts(word, runs), "spelling-words"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_model": op1_quality_model,
@@ -130,4 +147,6 @@ def queries() -> dict[str, Query]:
         "op3_chat_format": op3_chat_format,
         "op10_quality_rules": op10_quality_rules,
         "op11_jaccard_join": op11_jaccard_join,
+        "op12_collocations": op12_collocations,
+        "op13_spelling_variants": op13_spelling_variants,
     }
