@@ -9,7 +9,7 @@ any fixed order. Shingles are ordered by the occurrences of their rarest word (a
 of one size whatever the corpus), so frequent phrases and passages come last and are seldom keys. A tile is
 one shingle with two neighbouring bands.
 
-**Bounds.** Each set has a bitmap of at least as many bits as shingles, in which every shingle flips one bit.
+**Bounds.** Each set has a bitmap of at least half as many bits as shingles, in which every shingle flips one bit.
 The bits in which two bitmaps differ cannot outnumber the shingles in which the sets differ, so the bit count
 bounds the overlap from above. Only pairs that pass go to the exact intersection of the sorted sets.
 
@@ -125,7 +125,7 @@ class Shingles:
 
     def bitmaps(self) -> pa.Array:
         """Bitmaps of 64-bit words, a power of two of them; every shingle flips the bit of its low digits."""
-        n = np.maximum(self.size, 64)
+        n = np.maximum(self.size / 2, 64)
         width = np.int64(1) << np.ceil(np.log2(n)).astype(np.int64)
         base = np.concatenate([[0], np.cumsum(width)])
         slot = (self.value & (width[self.text] - 1).astype(np.uint64)).astype(np.int64)
@@ -281,48 +281,53 @@ def tile_pairs(rows: DataFrame, label: DataFrame, classes: DataFrame) -> DataFra
     placed = rows.join(label, F.col("rep") == F.col("node"), "left").select(
         "h", "tile", "rep", "n", "at", F.coalesce("label", "rep").alias("comp")
     )
-    by_comp = placed.groupBy("h", "tile", "comp").agg(F.count(F.lit(1)).alias("c"))
+    by_comp = placed.groupBy("h", "tile", "comp").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("low"))
     mixed = by_comp.groupBy("h", "tile").agg(
-        F.count(F.lit(1)).alias("comps"), F.sum("c").alias("c"), F.max(F.struct("c", "comp")).alias("top")
+        F.count(F.lit(1)).alias("comps"), F.sum("c").alias("c"), F.min("low").alias("low"),
+        F.max(F.struct("c", "comp")).alias("top"),
     ).where("comps > 1").select(
-        F.col("h").alias("hh"), F.col("tile").alias("ht"), F.col("top.comp").alias("main"),
+        F.col("h").alias("hh"), F.col("tile").alias("ht"), F.col("top.comp").alias("main"), "low",
         F.ceil(F.col("c") / BLOCK).cast("int").alias("parts"),
     )
-    open_rows = placed.join(mixed, (F.col("h") == F.col("hh")) & (F.col("tile") == F.col("ht"))).select(
-        "h", "tile", "rep", "n", "at", "comp", (F.col("comp") != F.col("main")).alias("rest"),
+    # no set of the tile can ask for less than its smallest one does
+    need = F.expr("(9 * (n + greatest(low, (9 * n + 9) div 10)) + 18) div 19")
+    open_rows = placed.join(mixed, (F.col("h") == F.col("hh")) & (F.col("tile") == F.col("ht"))).where(
+        F.col("at") <= F.col("n") - need
+    ).select(
+        "h", "tile", "parts", "rep", "n", "at", "comp", (F.col("comp") != F.col("main")).alias("rest"),
         F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("block"),
     )
     bits = classes.select(F.col("rep").alias("c_rep"), "bits")
     full = open_rows.join(bits, F.col("rep") == F.col("c_rep")).select(
-        "h", "tile", "block", "rest", F.struct("rep", "comp", "n", "at", "bits").alias("m")
+        "h", "tile", "parts", "block", F.struct("rep", "comp", "n", "at", "rest", "bits").alias("m")
     )
-    blocks = stored(
-        full.groupBy("h", "tile", "block").agg(
-            F.collect_list(F.when(F.col("rest"), F.col("m"))).alias("few"), F.collect_list("m").alias("many")
-        ),
-        "tile-blocks",
+    blocks = stored(full.groupBy("h", "tile", "parts", "block").agg(F.collect_list("m").alias("m")), "tile-blocks")
+    alone = blocks.where((F.col("parts") == 1) & (F.size("m") > 1)).select(F.col("m").alias("few"), F.col("m").alias("many"))
+    split = blocks.where("parts > 1")
+    one = split.where(F.exists("m", lambda x: x["rest"])).select("h", "tile", F.col("m").alias("few"))
+    two = split.select(F.col("h").alias("h2"), F.col("tile").alias("t2"), F.col("m").alias("many"))
+    both = alone.union(
+        one.join(two, (F.col("h") == F.col("h2")) & (F.col("tile") == F.col("t2"))).select("few", "many")
     )
-    one = blocks.where("size(few) > 0").select("h", "tile", "few")
-    two = blocks.select(F.col("h").alias("h2"), F.col("tile").alias("t2"), "many")
-    both = one.join(two, (F.col("h") == F.col("h2")) & (F.col("tile") == F.col("t2"))).select("few", "many")
     kind = dict(classes.dtypes)["rep"]
 
     def members(listed: pa.ListArray, i: int):
         at = listed.offsets.to_numpy()
         m = listed.values.slice(at[i], at[i + 1] - at[i])
-        return m.field("rep"), m.field("comp"), m.field("n").to_numpy(), m.field("at").to_numpy(), m.field("bits")
+        rest = m.field("rest").to_numpy(zero_copy_only=False)
+        return m.field("rep"), m.field("comp"), m.field("n").to_numpy(), m.field("at").to_numpy(), m.field("bits"), rest
 
     def run(batches):
         for batch in batches:
             few, many = (pa.concat_arrays([batch.column(c)]) for c in ("few", "many"))
             left, right = [], []
             for i in range(batch.num_rows):
-                ar, ac, an, aa, ab = members(few, i)
-                br, bc, bn, ba, bb = members(many, i)
+                ar, ac, an, aa, ab, rest = members(few, i)
+                br, bc, bn, ba, bb, _ = members(many, i)
                 need = needed(an[:, None], bn[None, :])
                 code = pa.concat_arrays([ac, bc]).dictionary_encode().indices.to_numpy()
                 ok = (code[: len(an), None] != code[None, len(an) :])
-                ok &= (aa[:, None] <= an[:, None] - need) & (ba[None, :] <= bn[None, :] - need)
+                ok &= rest[:, None] & (aa[:, None] <= an[:, None] - need) & (ba[None, :] <= bn[None, :] - need)
                 x, y = np.nonzero(ok)
                 if not len(x):
                     continue
