@@ -1,13 +1,11 @@
 """RANK and ROW_NUMBER over a whole table without a one-task window.
 
 ``rank() over (order by x)`` puts every row into one partition. Here equal values are counted first, with
-map-side combine, and the counts are dealt to ``PARTS`` buckets whose limits are approximate percentiles of
-the values, so buckets hold about equal numbers of values whatever their distribution. A rank is "rows in
-better buckets + better rows in the own bucket + 1" and does not depend on the limits. Bucket totals are one
-short array per group.
+map-side combine, and the counts go through a range exchange (``ranges``): a rank is the rows of better ranges,
+carried from range to range, plus the better rows of the own range, plus one. The number of ranges follows the
+shuffle partitions, a value is one row however many rows share it, and the ranked rows are planned once.
 
-Rows of one rank are numbered the same way: about ``PARTS`` of the tied keys, picked by hash, are the limits
-of buckets in key order.
+ROW_NUMBER needs no counts: value and tie-break tell rows apart, so the rows themselves are numbered in ranges.
 """
 
 from __future__ import annotations
@@ -19,40 +17,13 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import stored
 from .numeric import rnd
-
-PARTS = 64
-_BEFORE = (Window.unboundedPreceding, -1)
+from .ranges import carried, in_ranges, numbered, same
 
 
 def _order(name: str, descending: bool) -> Column:
     return F.col(name).desc_nulls_last() if descending else F.col(name).asc_nulls_last()
 
 
-def _same(names: Sequence[str], prefix: str) -> Column:
-    out = F.lit(True)
-    for c in names:
-        out = out & F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
-    return out
-
-
-def _attach(df: DataFrame, per: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Add the column ``value`` that ``per`` has once per group; once in all if there are no groups."""
-    if not by:
-        return df.withColumn(value, per.select(value).scalar())
-    named = per.select(*[F.col(c).alias(f"_g_{c}") for c in by], value)
-    return df.join(named, _same(by, "_g_")).drop(*[f"_g_{c}" for c in by])
-
-
-def _ahead(own: Column, descending: bool) -> Column:
-    """Rows in the buckets before the own one; bucket -1 holds nulls and comes last."""
-
-    def before(x: Column) -> Column:
-        better = x["b"] > own if descending else x["b"] < own
-        return F.when(own == -1, x["b"] != -1).otherwise(better & (x["b"] != -1))
-
-    return F.aggregate(F.filter("_totals", before), F.lit(0).cast("bigint"), lambda s, x: s + x["n"])
-
-
 def with_rank(
     df: DataFrame,
     value: str,
@@ -62,54 +33,22 @@ def with_rank(
     digits: int = 6,
 ) -> DataFrame:
     """Add ``name`` = SQL RANK of ``value`` (compared at ``digits`` decimals), nulls last."""
-    keyed = df.withColumn("_v", rnd(value, digits))
+    keyed = stored(df.withColumn("_v", rnd(value, digits)), "ranked")
     tally = keyed.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    shares = [i / PARTS for i in range(1, PARTS)]
-    cuts = tally.groupBy(*by).agg(F.percentile_approx("_v", shares).alias("_cuts"))
-    bucket = F.when(F.col("_v").isNull(), -1).otherwise(
-        F.size(F.filter(F.coalesce("_cuts", F.array().cast("array<double>")), lambda c: c < F.col("_v")))
-    )
-    placed = _attach(tally, cuts, by, "_cuts").withColumn("_b", bucket).drop("_cuts")
-    totals = placed.groupBy(*by, "_b").agg(F.sum("_n").alias("n")).groupBy(*by).agg(
-        F.collect_list(F.struct(F.col("_b").alias("b"), "n")).alias("_totals")
-    )
-    inside = Window.partitionBy(*by, "_b").orderBy(_order("_v", descending)).rowsBetween(*_BEFORE)
-    near = placed.withColumn("_near", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    ranks = _attach(near, totals, by, "_totals").select(
-        *[F.col(c).alias(f"_r_{c}") for c in by],
-        F.col("_v").alias("_r__v"),
-        (_ahead(F.col("_b"), descending) + F.col("_near") + 1).cast("bigint").alias(name),
+    rows = in_ranges(tally, [*by, _order("_v", descending)], "rank-tally")
+    inside = Window.partitionBy(*by, "_range").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
+    near = rows.withColumn("_near", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    ranks = near.join(carried(rows, by, F.col("_n")), same([*by, "_range"], "_c_")).select(
+        *[F.col(c).alias(f"_r_{c}") for c in (*by, "_v")],
+        (F.col("_before") + F.col("_near") + 1).cast("bigint").alias(name),
     )
-    return keyed.join(ranks, _same([*by, "_v"], "_r_")).select(*df.columns, name)
+    return keyed.join(ranks, same([*by, "_v"], "_r_")).select(*df.columns, name)
 
 
 def with_position(
     df: DataFrame, value: str, tiebreak: str, name: str, descending: bool = True, digits: int = 6
 ) -> DataFrame:
-    """Add ``name`` = ROW_NUMBER by ``value`` with exact ties ordered by ``tiebreak``. The ranked rows are stored
-    once; ranks without ties need no more."""
-    ranked = stored(with_rank(stored(df, "ranked"), value, "_rank", descending=descending, digits=digits), "ranked")
-    sizes = ranked.groupBy("_rank").agg(F.count(F.lit(1)).alias("_ties"))
-    tied = sizes.where("_ties > 1").select(F.col("_rank").alias("_g_rank"), "_ties")
-    if tied.isEmpty():
-        return ranked.select(*df.columns, F.col("_rank").alias(name))
-    chosen = F.pmod(F.xxhash64(tiebreak), F.greatest(F.floor(F.col("_ties") / PARTS), F.lit(1))) == 0
-    rows = ranked.join(tied, F.col("_rank") == F.col("_g_rank"))
-    cuts = rows.groupBy("_rank").agg(
-        F.array_sort(F.collect_set(F.when(chosen & (F.col("_ties") > PARTS), F.col(tiebreak)))).alias("_cuts")
-    )
-    placed = _attach(rows.select("_rank", tiebreak), cuts, ["_rank"], "_cuts").select(
-        "_rank", F.col(tiebreak).alias("_t"), F.size(F.filter("_cuts", lambda c: c < F.col(tiebreak))).alias("_b")
-    )
-    totals = placed.groupBy("_rank", "_b").agg(F.count(F.lit(1)).alias("n")).groupBy("_rank").agg(
-        F.collect_list(F.struct(F.col("_b").alias("b"), "n")).alias("_totals")
-    )
-    inside = Window.partitionBy("_rank", "_b").orderBy("_t")
-    places = _attach(placed.withColumn("_near", F.row_number().over(inside)), totals, ["_rank"], "_totals").select(
-        F.col("_rank").alias("_p_rank"), F.col("_t").alias("_p_t"),
-        (_ahead(F.col("_b"), False) + F.col("_near") - 1).alias("_step"),
-    )
-    return (
-        ranked.join(places, (F.col("_rank") == F.col("_p_rank")) & F.col(tiebreak).eqNullSafe(F.col("_p_t")), "left")
-        .select(*df.columns, (F.col("_rank") + F.coalesce("_step", F.lit(0))).cast("bigint").alias(name))
-    )
+    """Add ``name`` = ROW_NUMBER by ``value`` with exact ties ordered by ``tiebreak``, which tells them apart."""
+    keyed = df.withColumn("_v", rnd(value, digits))
+    placed = numbered(keyed, [], [_order("_v", descending), F.col(tiebreak)], "_p", "ranked")
+    return placed.select(*df.columns, (F.col("_p") + 1).alias(name))

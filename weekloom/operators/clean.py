@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranges import blocks, neighbours, numbered, same
 from ..sources.feed import SERIAL_ORIGIN
 from ..sources.tables import week_bounds
 
@@ -110,6 +111,26 @@ def interpolate(
     return near.selectExpr(*keep, f"{filled} as {out}")
 
 
+def interpolate_ranged(
+    df: DataFrame, order: Sequence[str], by: str = "series", value: str = "idx", out: str = "idx_filled"
+) -> DataFrame:
+    """``interpolate`` for series of any length; ``pos`` is added, the place in the series by ``order`` (which must
+    tell its rows apart). Known neighbours beyond a block are carried from block to block."""
+    rows, w = blocks(numbered(df, [by], order, "pos", "interpolate"), [by], "pos")
+    known = F.when(F.col(value).isNotNull(), F.struct(F.col("pos").cast("double").alias("x"), F.col(value).alias("v")))
+    near = rows.withColumns({
+        "_p": F.last(known, True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        "_n": F.first(known, True).over(w.rowsBetween(0, Window.unboundedFollowing)),
+    }).join(neighbours(rows, [by], known, "pos"), same([by, "_block"], "_c_"))
+    before, after = F.coalesce("_p", "_left"), F.coalesce("_n", "_right")
+    share = (F.col("pos").cast("double") - before["x"]) / (after["x"] - before["x"])
+    filled = (
+        F.when(F.col(value).isNotNull(), F.col(value)).when(before.isNull(), after["v"])
+        .when(after.isNull(), before["v"]).otherwise(before["v"] + (after["v"] - before["v"]) * share)
+    )
+    return near.select(*df.columns, "pos", filled.alias(out))
+
+
 def clean_feed(raw: DataFrame, fill_weeks: bool = True) -> DataFrame:
     """Parse, set unreadable dates aside, keep the first copy, densify (if asked), interpolate."""
     rows = typed(raw).where(F.col("week_ending").isNotNull())

@@ -5,18 +5,20 @@ All take a dense panel ``series, week_ending, idx`` and treat every series in th
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.blocks import BLOCK_ROWS, grid
 from ..functions.calendar import calendar
 from ..functions.numeric import by_week, position, rnd
+from ..functions.ranges import blocks, numbered
 from ..functions.ranking import with_position
 from ..functions.student import t_two_sided
+from ..sources.scratch import stored
 from ..sources.tables import TOTAL
 
 # Slope limits of the trend classes and weights of the composite score.
@@ -159,22 +161,14 @@ def _centred(window: int) -> tuple[int, int]:
     return window - 1 - after, after
 
 
-def _components(panel: DataFrame, window: int, short: int) -> DataFrame:
-    w = by_week()
+def _with_trend(df: DataFrame, w: WindowSpec, window: int, short: int) -> DataFrame:
+    """Add ``trend``, the centred mean over the window ``w``, to rows with ``pos`` and the series' length ``n``."""
     before, after = _centred(window)
     half = short // 2
     # only series shorter than the window need the rows themselves; for others the list stays empty
     near = F.collect_list(
         F.when(F.col("idx").isNotNull() & (F.col("n") < window), F.struct("pos", "idx"))
     ).over(w.rowsBetween(-half, half))
-    df = calendar(panel).select(
-        "series",
-        "week_ending",
-        "week_number",
-        "idx",
-        position().alias("pos"),
-        F.count(F.lit(1)).over(Window.partitionBy("series")).alias("n"),
-    )
     # a series shorter than the window uses min(short, n // 3) rows instead, cut out of `near`
     size = F.least(F.lit(short), F.floor(F.col("n") / 3)).cast("int")
     tail = F.floor((size - 1) / 2)
@@ -184,10 +178,47 @@ def _components(panel: DataFrame, window: int, short: int) -> DataFrame:
     )
     mean = F.aggregate(reach, F.lit(0.0), lambda a, r: a + r.idx) / F.nullif(F.size(reach), F.lit(0))
     df = df.withColumns({"near": near, "wide": F.avg("idx").over(w.rowsBetween(-before, after))})
-    df = df.withColumn("trend", F.when(F.col("n") < window, mean).otherwise(F.col("wide")))
+    return df.withColumn("trend", F.when(F.col("n") < window, mean).otherwise(F.col("wide"))).drop("near", "wide")
+
+
+def _components(panel: DataFrame, window: int, short: int) -> DataFrame:
+    df = calendar(panel).select(
+        "series",
+        "week_ending",
+        "week_number",
+        "idx",
+        position().alias("pos"),
+        F.count(F.lit(1)).over(Window.partitionBy("series")).alias("n"),
+    )
     weekly = Window.partitionBy("series", "week_number")
     seasonal = F.avg(F.col("idx") - F.col("trend")).over(weekly)
-    return df.withColumn("seasonal", seasonal).drop("near", "wide", "n")
+    return _with_trend(df, by_week(), window, short).withColumn("seasonal", seasonal).drop("n")
+
+
+def decompose_ranged(rows: DataFrame, order: Sequence[str], window: int = 52, short: int = 13) -> DataFrame:
+    """``decompose`` for series of any length, with ``pos``, the place in the series by ``order`` (which must tell its
+    rows apart). The trend runs in blocks with a halo; the mean per ISO week is an aggregate of one row a week
+    number, joined back, so no series and no week number is a task of its own."""
+    placed = numbered(calendar(rows), ["series"], order, "pos", "decompose").select(
+        "series", "week_ending", "week_number", "idx", "pos"
+    )
+    length = placed.groupBy(F.col("series").alias("_s")).agg(F.max("pos").alias("_top"))
+    sized = placed.join(length, F.col("series").eqNullSafe(F.col("_s"))).withColumn("n", F.col("_top") + 1)
+    before, after = _centred(window)
+    dealt, w = blocks(sized, ["series"], "pos", back=before, ahead=max(after, short // 2))
+    trended = stored(
+        _with_trend(dealt, w, window, short).where("_own").select("series", "week_ending", "week_number", "idx", "pos", "trend"),
+        "decompose",
+    )
+    weekly = trended.groupBy(F.col("series").alias("_s"), F.col("week_number").alias("_w")).agg(
+        F.avg(F.col("idx") - F.col("trend")).alias("seasonal")
+    )
+    both = F.col("series").eqNullSafe(F.col("_s")) & F.col("week_number").eqNullSafe(F.col("_w"))
+    c = F.col
+    return trended.join(weekly, both).select(
+        "series", "pos", "week_ending", rnd("idx", 4).alias("observed"), rnd("trend", 2).alias("trend"),
+        rnd("seasonal", 2).alias("seasonal"), rnd(c("idx") - c("trend") - c("seasonal"), 2).alias("residual"),
+    )
 
 
 def decompose(panel: DataFrame, window: int = 52, short: int = 13) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import calendar
 from ..functions.labels import labels
 from ..functions.numeric import by_week, rnd
+from ..functions.ranges import blocks, numbered
 from ..sources.tables import TOTAL
 
 BASELINE = 100.0
@@ -30,6 +31,18 @@ def rolling(df: DataFrame, *weeks: int) -> DataFrame:
     )
 
 
+def rolling_ranged(df: DataFrame, order: Sequence[str], *rows: int, by: str = "series", value: str = "idx") -> DataFrame:
+    """``rolling`` for series of any length, such as one of single lines: add ``pos``, the place in the series by
+    ``order`` (which must tell its rows apart), and trailing means ``rolling_<n>`` over the last n rows.
+
+    Places come from a range exchange, frames run in blocks with a halo; the numbers are those of one window."""
+    rows = rows or (4, 12)
+    placed, w = blocks(numbered(df, [by], order, "pos", "rolling"), [by], "pos", back=max(rows) - 1)
+    means = {f"rolling_{n}": F.avg(value).over(w.rowsBetween(1 - n, 0)) for n in rows}
+    done = placed.withColumns(means).where("_own").drop("_own", "_block")
+    return done.withColumns({name: rnd(name, 2) for name in means})
+
+
 def yoy_rows(df: DataFrame, lag: int = 52) -> DataFrame:
     """Add ``yoy``: the change against the value ``lag`` rows back."""
     return df.withColumn("yoy", rnd(F.col("idx") - F.lag("idx", lag).over(by_week()), 2))

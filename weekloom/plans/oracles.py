@@ -93,6 +93,13 @@ _SITE_FACT = _SITE + "," + _fact("site", "site_fact")
 _CLEAN = _PANEL + "," + _filled("panel", "idx", "clean")
 _SITE_CLEAN = _SITE + "," + _filled("site", "idx", "site_clean")
 
+_LINES = """
+lines AS (
+  SELECT 'LINES' AS series, date_trunc('week', l_shipdate)::DATE + 6 AS week_ending,
+    CASE WHEN l_discount > 0 THEN l_quantity END AS idx,
+    row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey) - 1 AS pos
+  FROM lineitem)"""
+
 _FEED = (
     _PANEL
     + """,
@@ -1037,5 +1044,38 @@ newest AS (SELECT series, arg_max(d, week_ending) AS d FROM change GROUP BY seri
     }
 
 
+def _long_series() -> dict[str, str]:
+    """One series of all lines, in one window each."""
+    filled = """CASE WHEN n.idx IS NOT NULL THEN n.idx WHEN a.idx IS NULL THEN b.idx WHEN b.idx IS NULL THEN a.idx
+      ELSE a.idx + (b.idx - a.idx) * ((n.pos - px)::DOUBLE / (nx - px)::DOUBLE) END"""
+    return {
+        "tr_rolling_lines": q(
+            _LINES,
+            f"""SELECT pos, idx, {r('avg(idx) OVER (ORDER BY pos ROWS 3 PRECEDING)', 2)} AS rolling_4,
+              {r('avg(idx) OVER (ORDER BY pos ROWS 11 PRECEDING)', 2)} AS rolling_12 FROM lines""",
+        ),
+        "clean_interpolate_lines": q(
+            _LINES
+            + """,
+near AS (
+  SELECT *, max(CASE WHEN idx IS NOT NULL THEN pos END) OVER (ORDER BY pos) AS px,
+    min(CASE WHEN idx IS NOT NULL THEN pos END) OVER (ORDER BY pos
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nx FROM lines)""",
+            f"""SELECT n.series, n.pos, n.idx, {r(filled, 6)} AS idx_filled
+            FROM near n LEFT JOIN lines a ON a.pos = px LEFT JOIN lines b ON b.pos = nx""",
+        ),
+        "an_decompose_lines": q(
+            _LINES
+            + """,
+wide AS (
+  SELECT *, avg(idx) OVER (ORDER BY pos ROWS BETWEEN 26 PRECEDING AND 25 FOLLOWING) AS trend FROM lines),
+parts AS (
+  SELECT *, avg(idx - trend) OVER (PARTITION BY week(week_ending)) AS seasonal FROM wide)""",
+            f"""SELECT series, pos, week_ending, {r('idx', 4)} AS observed, {r('trend', 2)} AS trend,
+              {r('seasonal', 2)} AS seasonal, {r('idx - trend - seasonal', 2)} AS residual FROM parts""",
+        ),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**_etl(), **_pack(), **_stats(), **_forecasts(), **_segments(), **_views()}
+    return {**_etl(), **_long_series(), **_pack(), **_stats(), **_forecasts(), **_segments(), **_views()}

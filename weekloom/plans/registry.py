@@ -79,6 +79,15 @@ def _short(s: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _lines(s: SparkSession, d: str) -> DataFrame:
+    return tables.line_series(s, d)
+
+
+def _lines_filled(s: SparkSession, d: str) -> DataFrame:
+    filled = clean.interpolate_ranged(_lines(s, d), tables.LINE_ORDER)
+    return filled.select("series", "pos", "idx", rnd("idx_filled", 6).alias("idx_filled"))
+
+
 def _panel_reload(s: SparkSession, d: str) -> DataFrame:
     """Panel written in its layout and read again."""
     path = scratch_path(s, "panel") + ".parquet"
@@ -206,6 +215,7 @@ def queries() -> dict[str, Query]:
                 rnd("value_filled", 6).alias("value_filled"),
             ),
         ),
+        "clean_interpolate_lines": _lines_filled,
         # derived columns
         "tr_calendar": _over(_panel, lambda p: calendar(p).drop("qty", "idx")),
         "tr_flags": _over(
@@ -218,6 +228,9 @@ def queries() -> dict[str, Query]:
             _clean, lambda p: transform.vs_total(p).select("series", "week_ending", "vs_total")
         ),
         "tr_rolling": _over(_clean, lambda p: transform.rolling(p, 4, 12).drop("idx")),
+        "tr_rolling_lines": _over(
+            _lines, lambda p: transform.rolling_ranged(p, tables.LINE_ORDER).select("pos", "idx", "rolling_4", "rolling_12")
+        ),
         "tr_yoy_rows": _over(_clean, lambda p: transform.yoy_rows(p).drop("idx")),
         "tr_melt": _melt,
         "tr_labels": _labels,
@@ -248,6 +261,7 @@ def queries() -> dict[str, Query]:
         "an_trend_short": _over(_short, stats.trend),
         "an_trend_p_short": _over(_short, stats.trend_p),
         "an_decompose": _over(_clean, stats.decompose),
+        "an_decompose_lines": _over(_lines, lambda p: stats.decompose_ranged(p, tables.LINE_ORDER)),
         "an_season_summary": _over(_clean, stats.season_summary),
         "an_corr": _over(_clean, stats.correlation),
         "an_corr_extremes": _over(_clean, stats.corr_extremes),

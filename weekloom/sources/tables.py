@@ -17,7 +17,8 @@ BASELINE_YEAR = 1996
 
 # Columns the panels read. A declared schema spares the job that opens files to infer one.
 SCHEMAS = {
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_shipdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, l_discount double, "
+    "l_shipdate timestamp_ntz",
     "orders": "o_orderkey bigint, o_custkey bigint",
     "customer": "c_custkey bigint, c_nationkey int",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -62,6 +63,19 @@ def site_weekly(spark: SparkSession, folder: str) -> DataFrame:
     return _weekly(lines, "series")
 
 
+#: Order of the lines; it tells them apart.
+LINE_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")
+
+
+def line_series(spark: SparkSession, folder: str) -> DataFrame:
+    """All lines as one series of single values, whose length is the table's: ``series, week_ending, idx`` and the
+    columns of ``LINE_ORDER``. Lines without a discount count as not measured."""
+    return table(spark, folder, "lineitem").select(
+        F.lit("LINES").alias("series"), week_ending("l_shipdate").alias("week_ending"),
+        F.when(F.col("l_discount") > 0, F.col("l_quantity")).alias("idx"), *LINE_ORDER,
+    )
+
+
 def with_total(weekly: DataFrame, total: str = TOTAL) -> DataFrame:
     """Add the all-series total as one more series, from the weekly rows, not from the lines. A series that
     already has the total's name stops the job; choose another ``total`` then."""
