@@ -33,6 +33,8 @@ LEAST = 30
 TOP = 1 << 20
 HOT = 500
 PER_LANG = 2000
+#: Bytes of text a task works on at once.
+CHUNK = 1 << 19
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[*b".,;:!?\n\x0b\x0c\r"]] = True
 _BETWEEN = _BREAKS.copy()
@@ -76,7 +78,7 @@ def vocabulary(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
     """``lang, word, key, n``: occurrences of every word of every language."""
 
     def run(batches):
-        for part, data, offsets in chunks(batches, "body"):
+        for part, data, offsets in chunks(batches, "body", CHUNK):
             t = _Tokens(part.column("lang"), data, offsets)
             key, first, n = np.unique(t.key, return_index=True, return_counts=True)
             yield pa.RecordBatch.from_arrays(
@@ -124,7 +126,7 @@ def windows(docs: DataFrame, numbers: Numbers, lang_col: str, text_col: str) ->
     """``k1, k2, n``: longest windows as two pairs of numbers, added up per chunk of texts."""
 
     def run(batches):
-        for part, data, offsets in chunks(batches, "body"):
+        for part, data, offsets in chunks(batches, "body", CHUNK):
             t = _Tokens(part.column("lang"), data, offsets)
             number = numbers.of(t.key)
             lead = [number]
@@ -214,7 +216,7 @@ def spelled_phrases(docs: DataFrame, numbers: Numbers, least: int, lang_col: str
     names = [f"w{i}" for i in range(LONGEST)]
 
     def run(batches):
-        for part, data, offsets in chunks(batches, "body"):
+        for part, data, offsets in chunks(batches, "body", CHUNK):
             t = _Tokens(part.column("lang"), data, offsets)
             bare = numbers.of(t.key) == 0
             reach, since = np.ones(len(bare), np.int64), np.where(bare, 0, LONGEST)
