@@ -4,14 +4,14 @@ import json
 from pathlib import Path
 
 import pytest
-
 from weekloom.functions.labels import REGION_LABELS
-from weekloom.operators import quality, sqlpack, transform
+from weekloom.operators import clean, quality, sqlpack, transform
 from weekloom.plans.etl import clean_wide, run_etl, summary_document, to_feed
 from weekloom.plans.reports import write_reports
 from weekloom.sources.readers import read_wide
 
 from .frames import by, weeks
+from .plans import rows_read
 
 NAMES = ["UK_total", "London", "Wales", "Scotland", "England", "North_East"]
 
@@ -141,3 +141,26 @@ def test_summary_header_has_the_callers_facts(spark, run):
     feed = spark.createDataFrame([("a", "2024-07-07", "1", 0)], "series string, week_raw string, value_raw string, ingest_seq int")
     head = summary_document(feed, panel, generated_at="2024-07-08", data_source="a.csv").where("kind = 'header'").first()
     assert (head["generated_at"], head["data_source"]) == ("2024-07-08", "a.csv")
+
+
+@pytest.mark.parametrize("dense", [False, True])
+def test_counters_are_observed(spark, tmp_path, dense):
+    """Counters of a run equal those of a scan; a run without new weeks reads the feed no more often for them."""
+    raw_csv(tmp_path / "region.csv", NAMES)
+    part = clean_wide(read_wide(spark, str(tmp_path / "region.csv")), dense)
+    part.save(str(tmp_path / "panel"), "errorifexists")
+    before = rows_read(spark)
+    got = part.counters().first().asDict()
+    assert dense or rows_read(spark) - before <= part.texts.count()
+    assert got == quality.etl_stats(part.feed, dense).first().asDict()
+
+
+def test_each_format_is_parsed_once(spark):
+    """Distinct texts are parsed, every format once for each, whatever uses the dates."""
+    feed = spark.createDataFrame([("s", "2024-07-07", "1", k) for k in range(40)], "series string, week_raw string, value_raw string, ingest_seq int")
+    plan = feed.select(clean.parse_week("week_raw").alias("d"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp(") == len(clean.DATE_FORMATS) + 1
+    for f in (quality.date_gaps, quality.duplicates, quality.bad_dates, quality.dq_log, quality.etl_stats, clean.clean_feed):
+        text = f(feed)._jdf.queryExecution().optimizedPlan().toString()
+        assert not any(fmt in text for fmt in clean.DATE_FORMATS)
+    assert clean.week_texts(feed).count() == 1

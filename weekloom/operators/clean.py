@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ranges import blocks, neighbours, numbered, same
 from ..sources.feed import SERIAL_ORIGIN
+from ..sources.scratch import stored
 from ..sources.tables import week_bounds
 
 DIGITS = r"^[0-9]+(\.[0-9]+)?$"
@@ -42,7 +43,8 @@ def parse_week(col: Column | str) -> Column:
         .when(is_serial(col), F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), days))
         .when(~text.rlike(DIGITS), worded)
     )
-    return F.when(F.year(found).between(YEAR_MIN, YEAR_MAX), found)
+    # bound to a name, so that no format is parsed once for the year and once more for the value
+    return F.transform(F.array(found), lambda d: F.when(F.year(d).between(YEAR_MIN, YEAR_MAX), d))[0]
 
 
 def to_number(col: Column | str) -> Column:
@@ -52,9 +54,25 @@ def to_number(col: Column | str) -> Column:
     return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
 
 
-def typed(raw: DataFrame) -> DataFrame:
-    """Raw feed with parsed ``week_ending`` and ``value`` next to the raw columns."""
-    return raw.withColumns({"week_ending": parse_week("week_raw"), "value": to_number("value_raw")})
+def week_texts(raw: DataFrame) -> DataFrame:
+    """``_text, week_ending, n``: the distinct week texts of a feed with their dates and rows. A feed repeats few texts
+    in many rows; each text is parsed once, and the table is stored."""
+    texts = raw.groupBy(F.col("week_raw").alias("_text")).agg(F.count(F.lit(1)).alias("n"))
+    return stored(texts.select("_text", parse_week("_text").alias("week_ending"), "n"), "week-texts")
+
+
+def with_weeks(raw: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """Raw feed with parsed ``week_ending``, looked up in its week texts. Without given ``texts`` the feed is read
+    twice: hand over a stored table."""
+    weeks = (week_texts(raw) if texts is None else texts).select("_text", "week_ending")
+    return raw.join(weeks, F.col("week_raw") == F.col("_text"), "left").drop("_text")
+
+
+def typed(raw: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """Raw feed with parsed ``week_ending`` and ``value`` next to the raw columns; a typed feed is left as it is."""
+    if {"week_ending", "value"} <= set(raw.columns):
+        return raw
+    return with_weeks(raw, texts).withColumn("value", to_number("value_raw"))
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

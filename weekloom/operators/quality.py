@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import by_week, rnd
-from .clean import clean_feed, is_serial, parse_week, to_number, typed
+from .clean import clean_feed, is_serial, to_number, typed, with_weeks
 
 INDEX_MIN, INDEX_MAX = 50.0, 200.0
 SLACK_DAYS = 9
@@ -29,7 +29,7 @@ def date_gaps(raw: DataFrame, slack_days: int = SLACK_DAYS) -> DataFrame:
     holds no whole week (10 to 13 days) is ``irregular``: a week was moved, not lost.
     Copies are dropped first, which bounds the window by the calendar."""
     weeks = (
-        raw.select("series", parse_week("week_raw").alias("week_ending"))
+        with_weeks(raw).select("series", "week_ending")
         .where(F.col("week_ending").isNotNull())
         .distinct()
     )
@@ -48,9 +48,7 @@ def date_gaps(raw: DataFrame, slack_days: int = SLACK_DAYS) -> DataFrame:
 
 def duplicates(raw: DataFrame) -> DataFrame:
     """Rows beyond the first per series and parsed week."""
-    keys = raw.select("series", parse_week("week_raw").alias("week_ending")).where(
-        F.col("week_ending").isNotNull()
-    )
+    keys = with_weeks(raw).select("series", "week_ending").where(F.col("week_ending").isNotNull())
     per_key = keys.groupBy("series", "week_ending").agg(F.count(F.lit(1)).alias("n"))
     return per_key.groupBy("series").agg(F.sum(F.col("n") - 1).cast("bigint").alias("n_dup"))
 
@@ -73,8 +71,8 @@ def serial_dates(raw: DataFrame, share: float = 0.5) -> DataFrame:
 
 def bad_dates(raw: DataFrame) -> DataFrame:
     """Rows whose week cannot be read; cleaning sets them aside."""
-    bad = F.count_if(parse_week("week_raw").isNull())
-    return raw.groupBy("series").agg(bad.alias("n_bad_date"))
+    bad = F.count_if(F.col("week_ending").isNull())
+    return with_weeks(raw).groupBy("series").agg(bad.alias("n_bad_date"))
 
 
 # Checks of the log with their texts, in the order they are reported.
@@ -147,7 +145,7 @@ def etl_stats(raw: DataFrame, fill_weeks: bool = True) -> DataFrame:
         F.sum(dup).cast("bigint").alias("duplicates_removed"),
     )
     filled = F.count_if(F.col("value").isNull() & F.col("value_filled").isNotNull())
-    done = clean_feed(raw, fill_weeks).agg(
+    done = clean_feed(t, fill_weeks).agg(
         F.struct(F.count(F.lit(1)).alias("rows_final"), filled.alias("nulls_filled"))
     )
     return intake.withColumn("_d", done.scalar()).select(

@@ -357,6 +357,40 @@ def series_report(fact: DataFrame, series: str) -> DataFrame:
     return per.select(F.lit("REGIONAL REPORT").alias("report_type"), "*")
 
 
+def register_report(fact: DataFrame, function: str = "series_report", view: str = "weekly_fact") -> None:
+    """Make ``series_report`` callable from SQL, as a table function with a named argument:
+    ``SELECT * FROM series_report(wanted => 'NATION_7')``, also with a parameter marker of ``spark.sql(..., args)``.
+
+    The function is a query over the fact table's view, not code: Spark puts its text in place of the call, so the
+    filter on the series goes down to the dimension scan, and calls can be joined or filtered like any table."""
+    register(fact, view)
+
+    def rounded(expr: str, digits: int) -> str:
+        return f"rint(({expr}) * 1e{digits}D) / 1e{digits}D + 0D"
+
+    def mean(condition: str) -> str:
+        return rounded(f"avg(idx) FILTER (WHERE {condition})", 2)
+
+    columns = {
+        "report_type STRING": "'REGIONAL REPORT'",
+        "series STRING": "series",
+        "total_weeks BIGINT": "count(*)",
+        "mean_index DOUBLE": rounded("avg(idx)", 2),
+        "min_index DOUBLE": rounded("min(idx)", 2),
+        "max_index DOUBLE": rounded("max(idx)", 2),
+        "summer_avg DOUBLE": mean("season = 'Summer'"),
+        "winter_avg DOUBLE": mean("season = 'Winter'"),
+        "december_avg DOUBLE": mean("month = 12"),
+        "january_avg DOUBLE": mean("month = 1"),
+        "weeks_above_100 BIGINT": "count_if(above_baseline)",
+        "pct_above DOUBLE": rounded("100D * count_if(above_baseline) / count(*)", 1),
+    }
+    fact.sparkSession.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {function}(wanted STRING) RETURNS TABLE ({', '.join(columns)}) "
+        f"RETURN SELECT {', '.join(columns.values())} FROM {view} WHERE series = {function}.wanted GROUP BY series"
+    )
+
+
 def register(fact: DataFrame, view: str = "weekly_fact") -> DataFrame:
     """Make the fact table available to free SQL under a name; returns it unchanged."""
     fact.createOrReplaceTempView(view)

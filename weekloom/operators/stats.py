@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.blocks import BLOCK_ROWS, grid
 from ..functions.calendar import calendar
 from ..functions.numeric import by_week, position, rnd
+from ..functions.quantiles import exact_quantiles
 from ..functions.ranges import blocks, numbered
 from ..functions.ranking import with_position
 from ..functions.student import t_two_sided
@@ -39,17 +40,23 @@ def _newest(value: str = "idx") -> Column:
     return F.max_by(value, F.when(F.col(value).isNotNull(), F.col("week_ending")))
 
 
+def _with_quantiles(per: DataFrame, rows: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """Add ``q``, exact quantiles of ``idx`` in ``rows``, to one row per series."""
+    found = exact_quantiles(rows, "idx", shares)
+    return per.join(found, F.col("series").eqNullSafe(F.col("_q_series")), "left").drop("_q_series")
+
+
 def describe(panel: DataFrame) -> DataFrame:
-    """Mean, median, sample deviation, extremes and exact quartiles per series."""
+    """Mean, median, sample deviation, extremes and exact quartiles per series, with bounded state."""
     v = "idx"
-    per = panel.groupBy("series").agg(
+    rows = stored(panel.select("series", v), "described")
+    per = rows.groupBy("series").agg(
         F.avg(v).alias("m"),
-        F.percentile(v, [0.25, 0.5, 0.75]).alias("q"),
         F.stddev_samp(v).alias("sd"),
         F.min(v).alias("lo"),
         F.max(v).alias("hi"),
     )
-    return per.select(
+    return _with_quantiles(per, rows, [0.25, 0.5, 0.75]).select(
         "series",
         rnd("m", 2).alias("mean"),
         rnd(F.col("q")[1], 2).alias("median"),
@@ -66,16 +73,19 @@ def summary(panel: DataFrame, site: DataFrame | None = None, baseline: float = 1
     without the share above baseline)."""
 
     def rows(df: DataFrame, kind: str, share: Column) -> DataFrame:
-        per = df.groupBy("series").agg(
+        known = stored(df.select("series", "week_ending", "idx"), "summed-up")
+        per = known.groupBy("series").agg(
             rnd(F.avg("idx"), 2).alias("mean"),
-            rnd(F.percentile("idx", 0.5), 2).alias("median"),
             rnd(F.stddev_samp("idx"), 2).alias("std"),
             rnd(F.min("idx"), 2).alias("min"),
             rnd(F.max("idx"), 2).alias("max"),
             rnd(_newest(), 2).alias("latest"),
             rnd(share, 1).alias("above_baseline_pct"),
         )
-        return per.select(F.lit(kind).alias("kind"), "*")
+        return _with_quantiles(per, known, [0.5]).select(
+            F.lit(kind).alias("kind"), "series", "mean", rnd(F.col("q")[0], 2).alias("median"),
+            "std", "min", "max", "latest", "above_baseline_pct",
+        )
 
     above = F.avg(F.when(F.col("idx").isNotNull(), (F.col("idx") > baseline).cast("double"))) * 100
     out = rows(panel, "region", above)
@@ -340,15 +350,11 @@ def corr_extremes(panel: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
 
 def anomalies(panel: DataFrame, z: float = 2.5, k: float = 1.5) -> DataFrame:
     """Weeks with a population z-score beyond ``z`` or outside the quartile fences, with a cause."""
-    whole = Window.partitionBy("series")
     v, m = F.col("idx"), F.col("m")
-    df = panel.withColumns(
-        {
-            "m": F.avg("idx").over(whole),
-            "sd": F.stddev_pop("idx").over(whole),
-            "q": F.percentile("idx", [0.25, 0.75]).over(whole),
-        }
-    )
+    rows = stored(panel.select("series", "week_ending", "idx"), "anomalies")
+    per = rows.groupBy("series").agg(F.avg("idx").alias("m"), F.stddev_pop("idx").alias("sd"))
+    per = _with_quantiles(per, rows, [0.25, 0.75]).withColumnRenamed("series", "_of")
+    df = rows.join(per, F.col("series").eqNullSafe(F.col("_of"))).drop("_of")
     q1, q3 = F.col("q")[0], F.col("q")[1]
     score = F.when(F.col("sd") > 0, (v - m) / F.col("sd")).otherwise(0.0)
     by_z = F.abs(score) > z
@@ -482,6 +488,7 @@ def report_facts(
     """Facts of the management report as ``ord, metric, series, value, note``; ``first`` limits the facts per
     series to so many series by name."""
     v = F.col("idx")
+    panel = stored(panel.select("series", "week_ending", "idx"), "report-panel")
     newest_first = F.row_number().over(by_week(descending=True))
     per = (
         panel.where(v.isNotNull())

@@ -14,6 +14,8 @@ from ..functions.ranges import blocks, numbered
 from ..sources.tables import TOTAL
 
 BASELINE = 100.0
+#: Blocks of names in the grid of names and weeks; weeks are few.
+NAME_BLOCKS = 256
 
 
 def flags(df: DataFrame, baseline: float = BASELINE) -> DataFrame:
@@ -95,9 +97,12 @@ def fact_union(region: DataFrame, site: DataFrame, dim: DataFrame) -> DataFrame:
 def all_cells(panel: DataFrame, names: DataFrame) -> DataFrame:
     """The rows a melted wide table has: every name in every week of the panel, null where it has no value.
 
-    It comes from the long panel; no series becomes a column on the way."""
-    listed = names.agg(F.array_sort(F.collect_set("series"))).scalar()
-    cells = panel.select("week_ending").distinct().select(F.explode(listed).alias("series"), "week_ending")
+    It comes from the long panel; no series becomes a column on the way. Names are dealt to blocks and every week
+    is handed to each block, so the grid is an equal join of many small groups."""
+    named = names.select("series").distinct().withColumn("_block", F.pmod(F.xxhash64("series"), F.lit(NAME_BLOCKS)))
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(NAME_BLOCKS - 1).cast("bigint"))
+    weeks = panel.select("week_ending").distinct().select("week_ending", F.explode(numbers).alias("_block"))
+    cells = named.join(weeks, "_block").select("series", "week_ending")
     return cells.join(panel.select("series", "week_ending", "idx"), ["series", "week_ending"], "left")
 
 

@@ -470,13 +470,15 @@ _SHORT = (
     _PANEL
     + """,
 placed AS (
-  SELECT *, row_number() OVER (PARTITION BY series ORDER BY week_ending) AS x, ascii(right(series, 1)) % 5 AS k
-  FROM panel),
+  SELECT *, row_number() OVER (PARTITION BY series ORDER BY week_ending) - 1 AS pos,
+    ascii(right(series, 1)) % 4 + 1 AS size FROM panel),
+cut AS (
+  SELECT series || '#' || (pos // size) AS series, pos % size AS x,
+    CASE WHEN size > 1 OR pos % 2 = 0 THEN idx END AS v FROM placed),
 line AS (
-  SELECT series, regr_slope(v, x - 1) AS slope, regr_intercept(v, x - 1) AS icpt,
-    regr_r2(v, x - 1) AS r2, regr_sxx(v, x - 1) AS sxx, regr_syy(v, x - 1) AS syy, count(v) AS n
-  FROM (SELECT series, x, CASE WHEN k > 0 THEN idx END AS v FROM placed WHERE x <= greatest(k, 1))
-  GROUP BY series)"""
+  SELECT series, regr_slope(v, x) AS slope, regr_intercept(v, x) AS icpt,
+    regr_r2(v, x) AS r2, regr_sxx(v, x) AS sxx, regr_syy(v, x) AS syy, count(v) AS n
+  FROM cut GROUP BY series)"""
 )
 
 _PARTS = (
@@ -1078,4 +1080,5 @@ parts AS (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**_etl(), **_long_series(), **_pack(), **_stats(), **_forecasts(), **_segments(), **_views()}
+    pack = _pack()
+    return {**_etl(), **_long_series(), **pack, "report_sql": pack["report_region"], **_stats(), **_forecasts(), **_segments(), **_views()}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .scratch import stored
@@ -16,17 +18,20 @@ def save(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexi
     writer.format(fmt).save(path)
 
 
-def save_panel(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def save_panel(
+    df: DataFrame, path: str, mode: str = "errorifexists", counted: tuple[Observation, Sequence[Column]] | None = None,
+    drop: Sequence[str] = (),
+) -> None:
     """Write a panel for repeated reading: a folder per year, rows ranged and sorted by series and
-    week, so that year filters prune folders and series filters skip Parquet row groups."""
+    week, so that year filters prune folders and series filters skip Parquet row groups.
+
+    ``counted`` observes metrics of the rows as they are written, in the last stage, where a task that runs again
+    is not counted twice; ``drop`` names columns that only the metrics need."""
     out = df if "year" in df.columns else df.withColumn("year", F.year("week_ending"))
-    (
-        out.repartitionByRange("year", "series", "week_ending")
-        .sortWithinPartitions("year", "series", "week_ending")
-        .write.mode(mode)
-        .partitionBy("year")
-        .parquet(path)
-    )
+    out = out.repartitionByRange("year", "series", "week_ending").sortWithinPartitions("year", "series", "week_ending")
+    if counted:
+        out = out.observe(counted[0], *counted[1])
+    out.drop(*drop).write.mode(mode).partitionBy("year").parquet(path)
 
 
 def save_lines(df: DataFrame, path: str, order: str = "ord", mode: str = "errorifexists") -> None:
