@@ -58,6 +58,27 @@ def test_defined_results(spark):
     assert rules[1] == (0, True, False) and rules[2] == (0, True, False)
 
 
+def reused_ids(spark):
+    """Ids 3, 5, 5, 9 with the texts A, A, B, B; ids 20, 20 with C and a near copy of it; 30, 30 with D and nothing."""
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcd")
+    near = c.replace("c59", "other")
+    rows = [(3, a), (5, a), (5, b), (9, b), (20, c), (20, near), (21, near), (30, d), (30, ""), (31, d), (40, d + " x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    return docs.withColumn("set_a", F.lit(1)).withColumn("extra", F.col("text")), rows
+
+
+def test_reused_ids_lose_no_text(spark):
+    docs, rows = reused_ids(spark)
+    kept = [(r.doc_id, r.text) for r in minhash.without_near_duplicates(docs).collect()]
+    text = dict(zip("aabbcnmde", (t for _, t in rows)))
+    assert (3, text["a"]) in kept and (5, text["b"]) in kept
+    assert not {(5, text["a"]), (9, text["b"])} & set(kept)
+    assert sorted(i for i, _ in kept) == [3, 5, 20, 30, 30]
+    assert minhash.without_near_duplicates(docs).columns == docs.columns
+    got = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs).collect()}
+    assert got == {(3, 3), (5, 3), (9, 3), (20, 20), (21, 20), (30, 30), (31, 30), (40, 30)}
+
+
 def test_quality_without_labels(spark):
     docs, _ = odd_documents(spark)
     stats = quality_model.quality_statistics(docs)
@@ -103,9 +124,23 @@ def test_chat_edges(spark):
 
 @pytest.mark.parametrize("rows", ["odd", "none"])
 def test_pipeline_stages(spark, folder, rows):
+    """What each stage keeps of odd rows, by id; null is the id of two rows."""
     docs = odd_documents(spark)[0] if rows == "odd" else nothing(spark)
+    want = {
+        "near_duplicates": [1, 2, 3, 4, 5, 7, 8, 9, None, None],
+        "benchmark": [1, 2, 3, 4, 5, 6, 6, 7, 8, 9, None, None],
+        "personal_data": [1, 2, 3, 4, 5, 6, 6, 7, 8, 9, None, None],
+    }
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, folder)
         if name != "packing":
             assert out.columns == docs.columns
-        assert out.count() >= 0
+        ids = sorted((r.doc_id for r in out.select("doc_id").collect()), key=lambda i: (i is None, i))
+        if rows == "none":
+            assert ids == []
+        elif name in want:
+            assert ids == want[name]
+        elif name == "language":
+            assert set(ids) >= {4, 5, 6} and not {1, 2, 3} & set(ids)
+        else:
+            assert len({i for i in ids}) == 10 and len(ids) >= 12

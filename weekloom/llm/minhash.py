@@ -1,7 +1,7 @@
 """Near duplicates by MinHash with tensored banding, confirmed on full shingle sets.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a text's set is its distinct 5-word shingles (all its
-words if there are fewer), as 64-bit hashes. Texts with equal sets form a class; only its least id goes on.
+words if there are fewer), as 64-bit hashes. Texts with equal sets form a class, and classes are compared.
 
 **Keys.** ``COLLECTIONS`` small collections of ``PER_COLLECTION`` minhashes each are hashed; a table key is a
 *pair* of collection values. 16 collections of 2 give 120 tables of four minhashes from 32 minhashes instead
@@ -9,7 +9,7 @@ of 480. Texts with similarity 0.75 share a collection value with probability 0.5
 if fewer than two of 16 agree (4 in 100,000). Keys are formed only from collection values that some
 other class has as well, so a text without relatives costs 16 narrow rows.
 
-**Links.** In a bucket every class is checked against the bucket's least id, on full sets: as many checks as
+**Links.** In a bucket every class is checked against the bucket's first class, on full sets: as many checks as
 members. Confirmed links are joined to components. Buckets that then lie in one component are done. The
 classes of all other buckets go through an exact prefix filter: two sets with similarity 0.75 share one of
 the n - ceil(0.75 n) + 1 rarest shingles of each, so a join on those, between different components only,
@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.scratch import stored
 from .arrays import FOLDED_VALUES, PrefixHash, chunks, mix, words
@@ -160,17 +161,20 @@ def rare_shingle_pairs(sets: DataFrame) -> DataFrame:
     ).select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per row.
+#: Columns that name a set of shingles.
+BY_SET = ["set_a", "set_b", "n_shingles"]
 
-    Null and empty texts, and texts without words, have an empty set and are linked with nothing. Rows with
-    equal ids are one document and share a component. A row with a null id is no one's duplicate: its
-    component is null and it is kept. An empty table gives an empty result; other columns are ignored."""
+
+def class_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with the class of their text, classes with their least id, and links between near-duplicate classes.
+
+    A class (``rep``, a 64-bit name) is a set of shingles: texts, not ids, are linked. Rows without words or
+    without an id have no class."""
     sig = stored(signatures(docs, id_col, text_col), "near-signatures")
     named = sig.where("n_shingles > 0 and doc_id is not null")
-    by_set = ["set_a", "set_b", "n_shingles"]
     classes = stored(
-        named.groupBy(*by_set).agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")),
+        named.groupBy(*BY_SET).agg(F.min("doc_id").alias("first"), F.min_by("bands", "doc_id").alias("bands"))
+        .withColumn("rep", F.col("set_a")),
         "near-classes",
     )
     keys = table_keys(classes.select("rep", F.col("n_shingles").alias("n"), "bands"))
@@ -195,30 +199,103 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("rep").alias("r"), "comp"
     ).distinct()
     open_sets = stored(sets.join(open_reps, F.col("rep") == F.col("r")).select("rep", "comp", "s"), "near-open")
-    more = confirmed(rare_shingle_pairs(open_sets), sets)
-    label = components(links.union(more))
-    rep_of = classes.select(*[F.col(c).alias(f"c_{c}") for c in by_set], "rep")
-    same_set = F.lit(True)
-    for c in by_set:
+    links = stored(links.union(confirmed(rare_shingle_pairs(open_sets), sets)), "near-links")
+    own = classes.select(*[F.col(c).alias(f"c_{c}") for c in BY_SET], "rep")
+    same_set = F.col("doc_id").isNotNull()
+    for c in BY_SET:
         same_set = same_set & (F.col(c) == F.col(f"c_{c}"))
-    found = sig.select("doc_id", *by_set).join(rep_of, same_set & F.col("doc_id").isNotNull(), "left").join(
-        label, F.col("rep") == F.col("node"), "left"
+    rows = stored(sig.select("doc_id", *BY_SET).join(own, same_set, "left").select("doc_id", "n_shingles", "rep"), "near-rows")
+    return rows, classes.select("rep", "first"), links
+
+
+def _least(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, comp_id, comp_rep``: for every linked class the least id of its component, and the class that has it."""
+    label = components(links)
+    known = label.join(classes, F.col("node") == F.col("rep"))
+    least = known.groupBy(F.col("label").alias("of")).agg(F.min(F.struct("first", "rep")).alias("least"))
+    return label.join(least, F.col("label") == F.col("of")).select(
+        "node", F.col("least.first").alias("comp_id"), F.col("least.rep").alias("comp_rep")
     )
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "rep", "doc_id"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` per row.
+
+    Null and empty texts, and texts without words, have an empty set and are linked with nothing. Rows with
+    equal ids are one document: their texts are linked, so an id has one component (rows without words keep their
+    own id). A row with a null id is no one's duplicate: its component is null and it is kept. Repeated rows
+    repeat their verdict. An empty table gives an empty result; other columns are ignored. A very long text is
+    worked on as a whole, in some hundred bytes of memory a byte."""
+    rows, classes, links = class_links(docs, id_col, text_col)
+    named = rows.where("rep is not null")
+    reused = named.groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi")
+    bridges = named.join(reused.select(F.col("doc_id").alias("r"), "lo"), F.col("doc_id") == F.col("r")).select(
+        F.col("lo").alias("a"), F.col("rep").alias("b")
+    )
+    least = _least(classes, links.union(bridges))
+    first = classes.select(F.col("rep").alias("f_rep"), "first")
+    found = rows.join(first, F.col("rep") == F.col("f_rep"), "left").join(least, F.col("rep") == F.col("node"), "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp_id", "first", "doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
 
 
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one text of each group of near duplicates: the one of the least id.
+
+    Groups are groups of texts. An id that stands for several texts loses those that have a representative elsewhere
+    and keeps the others, so no text is lost altogether. Rows without words or without an id stay."""
+    rows, classes, links = class_links(docs, id_col, text_col)
+    least = _least(classes, links)
+    first = classes.select(F.col("rep").alias("f_rep"), "first")
+    judged = rows.where("rep is not null").join(first, F.col("rep") == F.col("f_rep")).join(
+        least, F.col("rep") == F.col("node"), "left"
+    )
+    stays = (F.col("doc_id") == F.coalesce("comp_id", "first")) & (F.col("rep") == F.coalesce("comp_rep", "rep"))
+    judged = judged.select("doc_id", "rep", stays.alias("stays"))
+    whole = rows.where("rep is null and doc_id is not null").select("doc_id", F.lit(0).alias("rep"), F.lit(True).alias("stays"))
+    ids = judged.union(whole).groupBy(F.col("doc_id").alias("_near_id")).agg(
+        F.bool_or("stays").alias("some"), F.bool_and("stays").alias("all")
+    )
+    ids = stored(ids.where("not all"), "near-gone")
+    mine = F.col(id_col) == F.col("_near_id")
+    clear = docs.join(ids.select("_near_id"), mine, "left_anti")
+    # ids with texts of both kinds are few; only their rows are named again
+    mixed = docs.join(ids.where("some").select("_near_id"), mine, "left_semi")
+    names = signatures(mixed, id_col, text_col).where("n_shingles > 0").select("doc_id", "set_a").distinct()
+    gone = names.join(judged.where("not stays").select(F.col("doc_id").alias("g"), F.col("rep").alias("gr")),
+                      (F.col("doc_id") == F.col("g")) & (F.col("set_a") == F.col("gr")), "left_semi")
+    return clear.unionByName(_without_sets(mixed, gone, id_col, text_col))
+
+
+def _without_sets(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows of ``docs`` whose id and set are not among ``doc_id, set_a``."""
+    columns = docs.columns
+    schema = T.StructType([*docs.schema.fields, T.StructField("_near_set", T.LongType())])
+
+    def run(batches):
+        for part, data, offsets in chunks(batches, text_col):
+            name = [int(np.add.reduce(mix(s)).view(np.int64)) if len(s) else None for s in shingle_sets(data, offsets)]
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.array(name, pa.int64())], names=[*part.schema.names, "_near_set"]
+            )
+
+    listed = gone.select(F.col("doc_id").alias("_g_id"), F.col("set_a").alias("_g_set"))
+    named = docs.mapInArrow(run, schema)
+    return named.join(
+        listed, (F.col(id_col) == F.col("_g_id")) & (F.col("_near_set") == F.col("_g_set")), "left_anti"
+    ).select(*columns)
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``rep, s``: full sets of the wanted classes, from their texts. Rows that repeat a set are left out once
     seen in the task; any left over only repeat links."""
     names = classes.join(wanted.select(F.col("rep").alias("w")), F.col("rep") == F.col("w"), "left_semi").select(
-        "rep", "set_a", "set_b"
+        "rep", "first", "set_a", "set_b"
     )
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("body")).where("doc_id is not null")
-    found = texts.join(names, F.col("doc_id") == F.col("rep")).select("rep", "set_a", "set_b", "body")
-    kind = dict(found.dtypes)["rep"]
+    found = texts.join(names, F.col("doc_id") == F.col("first")).select("rep", "set_a", "set_b", "body")
 
     def run(batches):
         seen = set()
@@ -240,4 +317,4 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, classes: DataFrame, id_col: str
                     names=["rep", "s"],
                 )
 
-    return found.mapInArrow(run, f"rep {kind}, s array<bigint>")
+    return found.mapInArrow(run, "rep bigint, s array<bigint>")
