@@ -29,9 +29,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates: the one with the least id."""
-    gone = minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_other")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_other"), "left_anti")
+    """One text of each group of near duplicates: the one with the least id. An id that stands for several texts
+    loses those that stay elsewhere only."""
+    return minhash.without_near_duplicates(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
