@@ -1,5 +1,6 @@
 """Queries that SQL cannot express, against brute force, exact round trips or held-out labels."""
 
+import itertools
 import random
 import re
 import zlib
@@ -133,7 +134,7 @@ def test_op5_places(spark, folder, texts):
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 500), max_size=20))
 def test_plan_holds_the_histogram(histogram):
     held = Counter()
-    for config, k in packing.plan(histogram, 64):
+    for config, k in packing.plan(histogram, 64).bins:
         assert sum(config) <= 64
         for l in config:
             held[l] += k
@@ -345,3 +346,60 @@ def test_queries_are_registered():
     for n in range(1, 11):
         assert sum(bool(re.match(rf"op{n}_", x)) for x in names) == 1
     assert "pipeline" in names and F
+
+
+def token_lengths(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    pieces = packing.token_pieces(docs, llm.bpe_files())
+    return {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+
+
+def test_op5_program_makes_the_plan(spark):
+    """The program's own configurations hold nine tenths of the pieces, close to the bound, at any number of pieces."""
+    histogram = token_lengths(spark)
+    for times in (1, 30, 1000):
+        counts = {l: n * times for l, n in histogram.items()}
+        found = packing.plan(counts)
+        held = Counter()
+        for config, k in found.bins:
+            assert sum(config) <= 2048
+            for l in config:
+                held[l] += k
+        assert held == Counter(counts)
+        short = sum(n for l, n in counts.items() if l < 2048)
+        assert found.programmed >= 0.9 * short
+        total = sum(k for _, k in found.bins)
+        assert found.bound <= total <= found.bound + len(found.bins) and total <= 1.001 * found.bound
+        assert found.bound >= -(-sum(l * n for l, n in counts.items()) // 2048)
+
+
+def test_lower_bound_is_no_more_than_the_best_packing():
+    """Against exhaustive search on few pieces, and where sizes alone say too little."""
+    rng = np.random.default_rng(8)
+
+    def fewest(pieces: tuple, bins: tuple = ()) -> int:
+        if not pieces:
+            return len(bins)
+        tried = {(*bins[:i], r - pieces[0], *bins[i + 1 :]) for i, r in enumerate(bins) if r >= pieces[0]}
+        return min(fewest(pieces[1:], tuple(sorted(b))) for b in [*tried, (*bins, 20 - pieces[0])])
+
+    for _ in range(25):
+        pieces = tuple(sorted(rng.integers(1, 21, rng.integers(1, 8)).tolist(), reverse=True))
+        found = packing.plan(Counter(pieces), 20)
+        best = fewest(pieces)
+        assert found.bound <= best <= sum(k for _, k in found.bins) <= best + 1
+    assert packing.plan({1100: 50, 1200: 50, 10: 3}).bound == 100
+    assert packing.plan({2048: 7}) == ([((2048,), 7)], 7, 0)
+    assert packing.plan({}) == ([], 0, 0)
+
+
+def test_knapsack_equals_enumeration():
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        items, prices = rng.integers(1, 15, 7), rng.random(7)
+        table = packing.Knapsack(items, prices, 20)
+        best = max(sum(p for p, x in zip(prices, take, strict=True) if x)
+                   for take in itertools.product([0, 1], repeat=7) if sum(items[np.array(take, bool)]) <= 20)
+        content = table.content(20)
+        assert table.best[20] == pytest.approx(best) and sum(content) <= 20
+        assert not Counter(content) - Counter(items.tolist())

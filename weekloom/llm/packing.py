@@ -3,12 +3,17 @@
 Pieces are at most ``capacity`` tokens long, so the packing problem is a histogram of at most ``capacity``
 counts, whatever the number of texts. On it, with configurations (multisets of lengths that fit) as columns:
 
-1. Multiplicative weights: every length has a price, lowered exponentially as it gets covered. Knapsack
-   dynamic programming over the capacity gives, for each length still in demand, the most valuable
-   configuration that holds it; each round adds a step of them.
-2. Rounding: fractional amounts, scaled to the demand, are rounded down within what is left of each length.
-3. The rest is placed by best fit, decreasing, on counts: one step places all pieces of a length that go to
-   bins with the same contents.
+1. Multiplicative weights: a length's price is its size, lowered exponentially as it gets covered. A table is
+   priced for the least covered lengths: knapsack dynamic programming over the capacity gives the most valuable
+   content for every room, and each of the longer ones becomes a configuration with it. It gets as much as covers
+   no length by more than a step. Tables are priced until ``TARGET`` of the demand's volume is covered.
+2. Rounding: amounts are rounded down, full configurations only. What is left is solved again by the same pricing in
+   whole multiples; prices that rise faster than the size keep short pieces for the end.
+3. The small rest is placed by best fit, decreasing, on counts: one step places all pieces of a length that go
+   to bins with the same contents.
+
+Prices are also a lower bound: no configuration is worth more than the knapsack's best value, so the value of all
+pieces, over that, cannot be packed into fewer sequences. The plan returns the best such bound.
 
 The plan is a list of (configuration, multiplicity). Pieces are numbered within their length, salted so that
 no length is one group, and read their sequence and offset from the plan: no piece moves between lengths.
@@ -17,6 +22,7 @@ no length is one group, and read their sequence and offset from the plan: no pie
 from __future__ import annotations
 
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,57 +36,111 @@ from .tokens import bpe, texts
 CAPACITY = 2048
 
 
-def knapsack(values: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best total value for each capacity, and the length taken last (0: none). ``values[l]``: of one piece
-    of length ``l``, below 0 if it may not be used."""
+#: Part of the volume that fractional and that whole configurations cover before what is left goes on.
+TARGET, WHOLE_TARGET = 0.97, 0.955
+#: Lengths of a table that fill room, and longer ones that are completed with them.
+FILLERS, FORCED = 100, 40
+#: Power of the size in the prices of whole configurations.
+GROWTH = 1.2
+_NONE = 1e-9
+
+
+class Knapsack:
+    """Most valuable content, of each item once at most, for every room up to the capacity."""
+
+    def __init__(self, items: np.ndarray, prices: np.ndarray, capacity: int):
+        self.items = items.tolist()
+        self.best = np.zeros(capacity + 1)
+        self.taken = np.zeros((len(items), capacity + 1), bool)
+        for i, (l, p) in enumerate(zip(self.items, prices.tolist(), strict=True)):
+            more = self.best[: capacity + 1 - l] + p
+            better = more > self.best[l:] + 1e-15
+            self.taken[i, l:] = better
+            self.best[l:] = np.where(better, more, self.best[l:])
+
+    def content(self, room: int) -> list[int]:
+        out = []
+        for i in range(len(self.items) - 1, -1, -1):
+            if self.taken[i, room]:
+                out.append(self.items[i])
+                room -= out[-1]
+        return out
+
+
+def best_value(prices: np.ndarray, capacity: int) -> float:
+    """Value of the most valuable configuration, lengths used any number of times; ``prices[l]``: of length ``l``."""
+    lengths = np.flatnonzero(prices > 0)
     best = np.zeros(capacity + 1)
-    last = np.zeros(capacity + 1, np.int64)
-    lengths = np.flatnonzero(values > 0)
     for c in range(1, capacity + 1):
-        best[c] = best[c - 1]
         fits = lengths[: np.searchsorted(lengths, c, side="right")]
-        if len(fits):
-            total = best[c - fits] + values[fits]
-            k = int(total.argmax())
-            if total[k] > best[c]:
-                best[c], last[c] = total[k], fits[k]
-    return best, last
+        best[c] = max(best[c - 1], (best[c - fits] + prices[fits]).max(initial=0.0))
+    return float(best[capacity])
 
 
-def _fill(last: np.ndarray, best: np.ndarray, room: int) -> list[int]:
-    """Lengths of the best content of ``room``."""
-    out = []
-    while room > 0:
-        if last[room]:
-            out.append(int(last[room]))
-            room -= int(last[room])
-        else:
-            room -= 1
-    return out
-
-
-def fractional(demand: np.ndarray, capacity: int, rounds: int = 60, step: float = 0.12) -> dict[tuple, float]:
-    """Amounts of configurations that cover the demand about once, by multiplicative weights."""
-    lengths = np.flatnonzero(demand)
+def lower_bound(demand: np.ndarray, capacity: int, prices: list[np.ndarray]) -> int:
+    """Sequences that any packing needs: by the sizes, by pieces of which no two fit together once those shorter than
+    some limit are left out, and by the given prices."""
+    size = np.arange(capacity + 1) / capacity
+    found = [float((demand * size).sum())]
+    for limit in np.flatnonzero(demand[: capacity // 2 + 1]).tolist() + [capacity // 2 + 1]:
+        alone = demand[capacity - limit + 1 :].sum()
+        found.append(float(alone + (demand * size)[limit : capacity - limit + 1].sum()))
+    for price in prices:
+        top = best_value(price, capacity)
+        if top > 0:
+            found.append(float((demand * price).sum() / top))
+    return int(np.ceil(max(found) - 1e-6))
+
+
+def configurations(
+    demand: np.ndarray, capacity: int, whole: bool, target: float, step: float = 0.25, eta: float = 0.3, seed: int = 0
+) -> tuple[dict[tuple, float], np.ndarray]:
+    """Amounts of configurations that cover ``target`` of the demand's volume, and the last prices.
+
+    With ``whole`` amounts are whole, of full configurations as long as there are any. Ends too when a run of tables
+    gives none."""
+    rng = np.random.default_rng(seed)
+    every = np.flatnonzero(demand)
+    size = np.arange(capacity + 1) / capacity
+    value = size**GROWTH if whole else size
+    volume = (demand * size).sum()
     covered = np.zeros(capacity + 1)
     amounts: dict[tuple, float] = {}
-    size = np.arange(capacity + 1) / capacity
-    for _ in range(rounds):
-        price = np.where(demand > 0, size * np.exp(-4.0 * covered), -1.0)
-        best, last = knapsack(price, capacity)
-        before = covered.copy()
-        for l in lengths[np.argsort(before[lengths], kind="stable")]:
-            if covered[l] > before[l] + step / 2:
-                continue
-            config = tuple(sorted([int(l), *_fill(last, best, capacity - int(l))], reverse=True))
-            use, times = np.unique(config, return_counts=True)
-            amount = step * (demand[use] / times).min()
-            amounts[config] = amounts.get(config, 0.0) + amount
-            covered[use] += amount * times / demand[use]
-        if covered[lengths].min() >= 1.0:
+    jitter = 1.0 if whole else step
+    idle = 0
+    while idle <= 25:
+        wanted = every[covered[every] < 1 - _NONE]
+        missing = (demand[wanted] * size[wanted] * (1 - covered[wanted])).sum()
+        if not len(wanted) or missing <= (1 - target) * volume:
             break
-    scale = 1.0 / max(1e-9, float(np.average(covered[lengths], weights=demand[lengths])))
-    return {c: a * scale for c, a in amounts.items()}
+        order = np.argsort(covered[wanted] + rng.random(len(wanted)) * jitter, kind="stable")
+        chosen = np.sort(wanted[order[: FILLERS + FORCED]])[::-1]
+        cut = min(FORCED, len(chosen) // 3 + 1)
+        long, items = chosen[:cut], chosen[cut:] if len(chosen) > cut else chosen
+        items = rng.permutation(np.concatenate([items, items[items <= capacity // 2]]))
+        price = value[items] * np.exp(-eta * (covered[items] - covered[wanted].min()))
+        table = Knapsack(items, price, capacity)
+        room = np.zeros(capacity + 1)
+        room[chosen] = np.minimum(1.0 if whole else step, 1 - covered[chosen])
+        done = 0
+        for l in long.tolist():
+            config = [l, *table.content(capacity - l)]
+            if whole and sum(config) < capacity and idle < 15:
+                continue  # later on it only goes out of the way: what is not full is not accepted
+            use, times = np.unique(config, return_counts=True)
+            for _ in range(3):
+                amount = (room[use] * demand[use] / times).min()
+                amount = np.floor(amount + 1e-6) if whole else amount
+                if amount <= _NONE:
+                    break
+                key = tuple(sorted(config, reverse=True))
+                amounts[key] = amounts.get(key, 0.0) + amount
+                got = amount * times / demand[use]
+                covered[use] += got
+                room[use] -= got
+                done += 1
+        idle = 0 if done else idle + 1
+    return amounts, np.where(demand > 0, size * np.exp(-eta * covered), 0.0)
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple, int]]:
@@ -113,25 +173,56 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple, int]]:
     return closed + [(c, k) for group in open_bins.values() for c, k in group]
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple, int]]:
-    """Configurations and multiplicities that hold exactly the pieces of the histogram."""
-    left = {l: n for l, n in histogram.items() if n}
-    out = [((l,), left.pop(l)) for l in [capacity] if l in left]
-    if left:
-        demand = np.zeros(capacity + 1)
-        demand[list(left)] = list(left.values())
-        amounts = fractional(demand, capacity)
-        for config, amount in sorted(amounts.items(), key=lambda x: (capacity - sum(x[0]), -x[1], x[0])):
-            use, times = np.unique(config, return_counts=True)
-            k = min(int(amount), *(left.get(int(u), 0) // int(t) for u, t in zip(use, times, strict=True)))
-            if k > 0:
-                out.append((config, k))
-                for u, t in zip(use, times, strict=True):
-                    left[int(u)] -= k * int(t)
-        out += best_fit({l: n for l, n in left.items() if n}, capacity)
+class Plan(NamedTuple):
+    """``bins``: configurations and multiplicities that hold exactly the pieces of a histogram. ``bound``: sequences that
+    any packing needs. ``programmed``: pieces shorter than the capacity in configurations of the program; the
+    other ones were placed by best fit."""
+
+    bins: list[tuple[tuple, int]]
+    bound: int
+    programmed: int
+
+
+def _accept(amounts: dict[tuple, float], left: dict[int, int], capacity: int) -> list[tuple[tuple, int]]:
+    """Full configurations, rounded down, the largest amounts first; takes their pieces out of ``left``."""
+    out = []
+    for config, amount in sorted(amounts.items(), key=lambda x: (-x[1], x[0])):
+        if sum(config) < capacity:
+            continue
+        use, times = (x.tolist() for x in np.unique(config, return_counts=True))
+        k = min(int(amount + 1e-6), *(left.get(u, 0) // n for u, n in zip(use, times, strict=True)))
+        if k > 0:
+            out.append((config, k))
+            for u, n in zip(use, times, strict=True):
+                left[u] -= k * n
     return out
 
 
+def _demand(left: dict[int, int], capacity: int) -> np.ndarray:
+    demand = np.zeros(capacity + 1)
+    for l, n in left.items():
+        demand[l] = n
+    return demand
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
+    """A packing of the pieces of a histogram of lengths from 1 to ``capacity``."""
+    left = dict(sorted((l, n) for l, n in histogram.items() if n))
+    bins = [((l,), left.pop(l)) for l in [capacity] if l in left]
+    if not left:
+        return Plan(bins, sum(k for _, k in bins), 0)
+    demand = _demand(left, capacity)
+    amounts, prices = configurations(demand, capacity, False, TARGET)
+    bound = lower_bound(demand, capacity, [prices]) + sum(k for _, k in bins)
+    placed = _accept(amounts, left, capacity)
+    volume, rest = ((x * np.arange(capacity + 1)).sum() for x in (demand, _demand(left, capacity)))
+    if rest:
+        again, _ = configurations(_demand(left, capacity), capacity, True, 1 - (1 - WHOLE_TARGET) * volume / rest, seed=1)
+        placed += _accept(again, left, capacity)
+    programmed = sum(k * len(c) for c, k in placed)
+    return Plan(bins + placed + best_fit({l: n for l, n in left.items() if n}, capacity), bound, programmed)
+
+
 class Places:
     """Sequence and offset of the r-th piece of a length."""
 
@@ -215,7 +306,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         .select(*columns, (F.col("rank") - 1 + F.col("shift")).alias("rank"))
     )
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    places = Places(plan(histogram, capacity))
+    places = Places(plan(histogram, capacity).bins)
 
     def place(batches):
         for b in batches:
