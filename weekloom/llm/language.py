@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from .arrays import chunks, code_points, owners, utf8
 
+#: Bytes of text a task works on at once.
+CHUNK = 1 << 19
 BUCKETS = 1 << 15
 ORDERS = 3
 UNUSED = ORDERS * BUCKETS
@@ -221,7 +223,7 @@ def score_language(docs: DataFrame, model: LanguageModel | None, text_col: str =
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("body"))
 
     def score(batches):
-        for part, _, _ in chunks(batches, "body"):
+        for part, _, _ in chunks(batches, "body", CHUNK):
             label, sure = _predicted(part.column("body"), model)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(label, pa.string()), pa.array(sure, pa.float64())],
@@ -237,7 +239,7 @@ def in_known_language(docs: DataFrame, model: LanguageModel | None, least: float
     filtered where they are read."""
 
     def run(batches):
-        for part, _, _ in chunks(batches, text_col):
+        for part, _, _ in chunks(batches, text_col, CHUNK):
             label, sure = _predicted(part.column(text_col), model)
             yield part.filter(pa.array((label != UNDETERMINED) & (sure >= least)))
 

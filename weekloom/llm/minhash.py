@@ -9,7 +9,7 @@ of 480. Texts with similarity 0.75 share a collection value with probability 0.5
 if fewer than two of 16 agree (4 in 100,000). Keys are formed only from collection values that some
 other class has as well, so a text without relatives costs 16 narrow rows.
 
-**Links.** In a bucket every class is checked against the bucket's first class, on full sets: as many checks as
+**Links.** In a bucket every class is checked against the class of the bucket's least id, on full sets: as many checks as
 members. Confirmed links are joined to components. Buckets that then lie in one component are done. The
 classes of all other buckets go through an exact prefix filter: two sets with similarity 0.75 share one of
 the n - ceil(0.75 n) + 1 rarest shingles of each, so a join on those, between different components only,
@@ -31,6 +31,8 @@ from .components import components
 WIDTH = 5
 PERCENT = 75
 COLLECTIONS, PER_COLLECTION = 16, 2
+#: Bytes of text a task works on at once.
+CHUNK = 1 << 19
 _FACTORS = mix(np.arange(1, COLLECTIONS * PER_COLLECTION + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 
 
@@ -62,7 +64,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     number = np.arange(COLLECTIONS, dtype=np.uint64)
 
     def run(batches):
-        for part, data, offsets in chunks(batches, "body"):
+        for part, data, offsets in chunks(batches, "body", CHUNK):
             sets = shingle_sets(data, offsets)
             size = np.array([len(s) for s in sets], np.int64)
             full = np.flatnonzero(size)
@@ -98,18 +100,18 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def table_keys(classes: DataFrame) -> DataFrame:
-    """``key, rep, n`` of the tables in which a class (``rep, n, bands``) may meet another one."""
-    values = classes.select("rep", "n", F.posexplode("bands").alias("i", "u"))
+    """``key, rep, first, n`` of the tables in which a class (``rep, first, n, bands``) may meet another one."""
+    values = classes.select("rep", "first", "n", F.posexplode("bands").alias("i", "u"))
     shared = values.groupBy("u").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("u").alias("s"))
     met = (
         values.join(shared, F.col("u") == F.col("s"), "left_semi")
-        .groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("i", "u"))).alias("m")).where("size(m) > 1")
+        .groupBy("rep", "first", "n").agg(F.sort_array(F.collect_list(F.struct("i", "u"))).alias("m")).where("size(m) > 1")
     )
     pairs = F.flatten(
         F.transform("m", lambda x: F.transform(
             F.filter("m", lambda y: y["i"] > x["i"]), lambda y: F.xxhash64(x["u"], y["u"])))
     )
-    return met.select(F.explode(pairs).alias("key"), "rep", "n")
+    return met.select(F.explode(pairs).alias("key"), "rep", "first", "n")
 
 
 def _similar_size(a: str, b: str):
@@ -177,8 +179,8 @@ def class_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .withColumn("rep", F.col("set_a")),
         "near-classes",
     )
-    keys = table_keys(classes.select("rep", F.col("n_shingles").alias("n"), "bands"))
-    hubs = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("rep", "n")).alias("hub")).where("c > 1")
+    keys = table_keys(classes.select("rep", "first", F.col("n_shingles").alias("n"), "bands"))
+    hubs = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("first", "rep", "n")).alias("hub")).where("c > 1")
     met = stored(
         keys.join(hubs.select(F.col("key").alias("k"), "hub"), F.col("key") == F.col("k"))
         .select("key", "rep", "n", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")),
@@ -261,7 +263,9 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     ids = stored(ids.where("not all"), "near-gone")
     mine = F.col(id_col) == F.col("_near_id")
     clear = docs.join(ids.select("_near_id"), mine, "left_anti")
-    # ids with texts of both kinds are few; only their rows are named again
+    if ids.where("some").isEmpty():
+        return clear
+    # ids with texts of both kinds; only their rows are named again
     mixed = docs.join(ids.where("some").select("_near_id"), mine, "left_semi")
     names = signatures(mixed, id_col, text_col).where("n_shingles > 0").select("doc_id", "set_a").distinct()
     gone = names.join(judged.where("not stays").select(F.col("doc_id").alias("g"), F.col("rep").alias("gr")),
@@ -275,7 +279,7 @@ def _without_sets(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str)
     schema = T.StructType([*docs.schema.fields, T.StructField("_near_set", T.LongType())])
 
     def run(batches):
-        for part, data, offsets in chunks(batches, text_col):
+        for part, data, offsets in chunks(batches, text_col, CHUNK):
             name = [int(np.add.reduce(mix(s)).view(np.int64)) if len(s) else None for s in shingle_sets(data, offsets)]
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array(name, pa.int64())], names=[*part.schema.names, "_near_set"]
@@ -299,7 +303,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, classes: DataFrame, id_col: str
 
     def run(batches):
         seen = set()
-        for part, data, offsets in chunks(batches, "body"):
+        for part, data, offsets in chunks(batches, "body", CHUNK):
             sets = shingle_sets(data, offsets)
             name = np.array([np.add.reduce(mix(s)) if len(s) else np.uint64(0) for s in sets], np.uint64)
             own = []
