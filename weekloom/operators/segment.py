@@ -150,15 +150,75 @@ def start_centroids(
     return {k: np.array(list(at.values())[:k]) for k in ks if k < len(found)}
 
 
+def _apart(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances of all rows to all centres."""
+    return ((x[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
+
+
+def _weighted_start(x: np.ndarray, weight: np.ndarray, k: int, passes: int = 50) -> np.ndarray:
+    """k centres of a few weighted candidates: the heaviest, then always the one that costs most, then Lloyd's steps."""
+    centres = x[[int(np.argmax(weight))]]
+    while len(centres) < k:
+        cost = weight * _apart(x, centres).min(axis=1)
+        centres = np.vstack([centres, x[int(np.argmax(cost))]])
+    for _ in range(passes):
+        near = _apart(x, centres).argmin(axis=1)
+        moved = np.array([
+            np.average(x[near == c], axis=0, weights=weight[near == c]) if (near == c).any() else centres[c] for c in range(k)
+        ])
+        if np.allclose(moved, centres):
+            break
+        centres = moved
+    return centres
+
+
+def sampled_centroids(points: DataFrame, ks: Sequence[int], passes: int = 5, oversample: float = 4.0) -> dict[int, np.ndarray]:
+    """Start centroids by k-means||: each pass draws points with a chance that grows with their squared distance from
+    the candidates so far, about ``oversample * max(ks)`` a pass; the candidates, weighted by the points nearest
+    to them, are clustered on the driver. Draws are hashes of key and pass, so a run is repeatable. Only the
+    candidates leave the tasks: a few dozen, however many points there are."""
+    rows = points.select("series", "p")
+    first = rows.orderBy(F.md5("series"), "series").limit(max(ks) + 1).collect()
+    usable = [k for k in ks if k < len(first)]
+    if not usable:
+        return {}
+    candidates = np.array([first[0]["p"]], dtype=float)
+
+    def cost(c: np.ndarray) -> Column:
+        listed = ", ".join("array(" + ", ".join(f"{float(v)!r}D" for v in row) + ")" for row in c)
+        squares = "aggregate(zip_with(p, c, (x, y) -> (x - y) * (x - y)), 0D, (s, x) -> s + x)"
+        return F.expr(f"array_min(transform(array({listed}), c -> {squares}))")
+
+    for i in range(passes):
+        far = rows.withColumn("_d", cost(candidates))
+        total = far.agg(F.sum("_d")).first()[0]
+        if not total:
+            break
+        draw = F.pmod(F.xxhash64("series", F.lit(i)), F.lit(1 << 40)) / float(1 << 40)
+        chance = F.col("_d") * float(oversample * max(usable) / total)
+        found = [r["p"] for r in far.where(draw < chance).select("p").collect()]
+        if found:
+            candidates = np.unique(np.vstack([candidates, np.array(found, dtype=float)]), axis=0)
+    # fewer candidates than centres: fill up with the first points
+    extra = [r["p"] for r in first if not (np.abs(candidates - np.array(r["p"])) < 1e-12).all(axis=1).any()]
+    if len(candidates) < max(usable) and extra:
+        candidates = np.vstack([candidates, np.array(extra, dtype=float)])
+    near = dict(rows.select(F.expr(_nearest(candidates)).alias("c")).groupBy("c").count().collect())
+    weight = np.array([near.get(c, 0) for c in range(len(candidates))], dtype=float)
+    return {k: _weighted_start(candidates, weight, min(k, len(candidates))) for k in usable}
+
+
 def fit_clusters(
     norm: DataFrame,
     ks: Sequence[int] = (2, 3, 4),
     seeds: Mapping[int, Sequence[str]] | None = None,
     max_iter: int = 300,
+    sampled: bool = False,
 ) -> tuple[DataFrame, Sequence[int]]:
-    """Stored points with a label column ``k<k>`` for each usable k (k below the point count)."""
+    """Stored points with a label column ``k<k>`` for each usable k (k below the point count). The start is the given
+    series, else the first ones by hash, or with ``sampled`` the centres of k-means||."""
     points = stored(norm, "points").withColumn("p", F.expr(POINT))
-    start = start_centroids(points, ks, seeds)
+    start = sampled_centroids(points, ks) if sampled and seeds is None else start_centroids(points, ks, seeds)
     if not start:
         raise ValueError("clustering needs more series than clusters")
     labels = lloyd(points, start, max_iter)
@@ -289,10 +349,11 @@ def cluster(
     ks: Sequence[int] = (2, 3, 4),
     seeds: Mapping[int, Sequence[str]] | None = None,
     scores: Callable[[DataFrame, Sequence[int]], DataFrame] = silhouette,
+    sampled: bool = False,
 ) -> DataFrame:
     """All features with ``cluster_id`` and ``cluster_name`` for the k the silhouette prefers. ``scores`` is the
     caller's choice: ``silhouette`` (exact Euclidean, quadratic in the series) or ``squared_silhouette``."""
-    labelled, usable = fit_clusters(norm, ks, seeds)
+    labelled, usable = fit_clusters(norm, ks, seeds, sampled=sampled)
     k = best_k(scores(labelled, usable)) if len(usable) > 1 else usable[0]
     return name_clusters(labelled, k)
 

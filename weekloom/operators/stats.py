@@ -306,16 +306,20 @@ def _cell_ends(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     return pairs.iloc[[0, -1]] if len(pairs) else pairs
 
 
-def _upper(panel: DataFrame, block_rows: int, cell=_pair_correlations) -> DataFrame:
+def _vectors(panel: DataFrame) -> DataFrame:
+    """``series, weeks, vals``: the known values of every series with their week numbers."""
     week = (F.datediff("week_ending", F.lit("1970-01-04").cast("date")) / 7).cast("int")
-    vectors = (
+    return (
         panel.where(F.col("idx").isNotNull())
         .select("series", F.struct(week.alias("w"), F.col("idx").alias("v")).alias("p"))
         .groupBy("series")
         .agg(F.collect_list("p").alias("p"))
         .select("series", F.col("p.w").alias("weeks"), F.col("p.v").alias("vals"))
     )
-    left, right = grid(vectors, "series", "vals", block_rows)
+
+
+def _upper(panel: DataFrame, block_rows: int, cell=_pair_correlations) -> DataFrame:
+    left, right = grid(_vectors(panel), "series", "vals", block_rows)
     pairs = left.groupBy("cell_i", "cell_j").cogroup(right.groupBy("cell_i", "cell_j"))
     out = pairs.applyInPandas(cell, "a string, b string, r double")
     return out.withColumn("r", rnd("r", 3))
@@ -336,16 +340,121 @@ def correlation_lower(panel: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFra
     return _upper(panel, block_rows).select(F.col("b").alias("a"), F.col("a").alias("b"), "r")
 
 
+#: Series that all others are measured against before pairs are, and what a bound leaves for rounding to three digits.
+PIVOTS, SLACK = 12, 0.001
+
+
+def _unit(weeks: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Centred values in week order, scaled to length 1; all zero for a constant series."""
+    x = np.asarray(values, dtype=float)[np.argsort(weeks, kind="stable")]
+    x = x - x.mean() if x.min() < x.max() else np.zeros(len(x))
+    size = np.sqrt((x * x).sum())
+    return x / size if size > 0 else x
+
+
+def _angles(vectors: DataFrame, n_weeks: int, pivots: int) -> DataFrame:
+    """``vectors`` with ``angles``, to each pivot; null for a series that lacks weeks or is constant, which has no bounds.
+
+    Among complete series a correlation is the cosine of an angle. Pivots are complete series, the first by hash; a
+    dozen of them, as long as the calendar, are handed to the tasks."""
+    full = (F.size("weeks") == n_weeks) & (F.array_min("vals") < F.array_max("vals"))
+    chosen = vectors.where(full).orderBy(F.md5("series"), "series").limit(pivots).collect()
+    axes = np.array([_unit(np.array(r["weeks"]), np.array(r["vals"])) for r in chosen])
+
+    def run(batches):
+        for frame in batches:
+            found = []
+            for weeks, values, known in zip(frame["weeks"], frame["vals"], frame["_full"]):
+                found.append(np.arccos(np.clip(axes @ _unit(weeks, values), -1, 1)).tolist() if known else None)
+            yield frame.drop(columns="_full").assign(angles=found)
+
+    schema = "series string, weeks array<int>, vals array<double>, angles array<double>"
+    return vectors.withColumn("_full", full).mapInPandas(run, schema)
+
+
+def _in_blocks(placed: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Series with the number ``block`` of a block of like ones, and a row per block with its range of angles.
+
+    Series of one nearest pivot and like angle to it share a block, so ranges are narrow; large blocks are cut by hash."""
+    near = F.array_min("angles")
+    home = F.coalesce(F.array_position("angles", near), F.lit(0))
+    shelf = F.coalesce(F.floor(near * 16), F.lit(-1))
+    rows = placed.withColumns({"_home": home, "_shelf": shelf})
+    parts = rows.groupBy(F.col("_home").alias("h"), F.col("_shelf").alias("s")).agg(
+        F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("parts")
+    )
+    rows = rows.join(parts, (F.col("_home") == F.col("h")) & (F.col("_shelf") == F.col("s"))).withColumn(
+        "_part", F.pmod(F.xxhash64("series"), F.col("parts"))
+    )
+    keys = ["_home", "_shelf", "_part"]
+    lows = F.array(*[F.min(F.get("angles", F.lit(i))) for i in range(PIVOTS)]).alias("lo")
+    highs = F.array(*[F.max(F.get("angles", F.lit(i))) for i in range(PIVOTS)]).alias("hi")
+    table = numbered(rows.groupBy(*keys).agg(lows, highs), [], keys, "block", "blocks")
+    named = table.select(*[F.col(k).alias(f"b{k}") for k in keys], "block")
+    same_key = F.lit(True)
+    for k in keys:
+        same_key = same_key & (F.col(k) == F.col(f"b{k}"))
+    return rows.join(named, same_key).select("series", "weeks", "vals", "block"), table.select("block", "lo", "hi")
+
+
+def bounded_cells(table: DataFrame, most: float, least: float) -> DataFrame:
+    """``i, j, kept``: all pairs of different blocks, and whether a pair of series in them can reach the best pairs known.
+
+    By the triangle inequality the angle of a pair is no less than the difference and no more than the sum of its
+    angles to any pivot. A block without angles has no bounds."""
+    count = table.agg(F.count(F.lit(1))).scalar()
+    one = table.select(F.col("block").alias("i"), F.col("lo").alias("lo_i"), F.col("hi").alias("hi_i"),
+                       F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)).alias("j")).where("i < j")
+    two = table.select(F.col("block").alias("j2"), F.col("lo").alias("lo_j"), F.col("hi").alias("hi_j"))
+    gap = F.array_max(F.zip_with(
+        F.zip_with("lo_i", "hi_j", lambda x, y: x - y), F.zip_with("lo_j", "hi_i", lambda x, y: x - y),
+        lambda x, y: F.greatest(x, y, F.lit(0.0)),
+    ))
+    reach = F.least(F.array_min(F.zip_with("hi_i", "hi_j", lambda x, y: x + y)), F.lit(float(np.pi)))
+    free = F.array_max("lo_i").isNull() | F.array_max("lo_j").isNull()
+    kept = free | (F.cos(gap) >= most - SLACK) | (F.cos(reach) <= least + SLACK)
+    return one.join(two, F.col("j") == F.col("j2")).select("i", "j", kept.alias("kept"))
+
+
 def corr_extremes(panel: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Most and least correlated pair on the rounded value; first pair by name for the least, last
-    for the most, as a stable sort leaves them. A cell of the grid returns its own two ends only."""
-    pairs = _upper(panel, block_rows, _cell_ends)
+    for the most, as a stable sort leaves them. A cell of the grid returns its own two ends only.
+
+    Pairs inside of blocks come first. A cell of two blocks is computed only if the angles of its series to the
+    pivots leave room for a pair that beats or ties the best ones found there."""
+    vectors = stored(_vectors(panel), "vectors")
+    n_series = vectors.count()
+    n_weeks = vectors.select(F.explode("weeks")).distinct().count()
+    placed = _angles(vectors, n_weeks, PIVOTS) if n_series > block_rows else vectors.withColumn(
+        "angles", F.lit(None).cast("array<double>")
+    )
+    rows, table = _in_blocks(placed, block_rows)
+    rows, table = stored(rows, "blocks"), stored(table, "block-angles")
+    shape = "a string, b string, r double"
+
+    def ends(cells: DataFrame) -> DataFrame:
+        columns = ("series", "weeks", "vals")
+        side, other = (
+            # new column identities, so that both sides can meet in one plan
+            rows.join(cells, F.col("block") == F.col(own)).select(
+                *[F.col(c).alias(c) for c in columns], F.col("i").alias("cell_i"), F.col("j").alias("cell_j")
+            )
+            for own in ("i", "j")
+        )
+        pairs = side.groupBy("cell_i", "cell_j").cogroup(other.groupBy("cell_i", "cell_j"))
+        return stored(pairs.applyInPandas(_cell_ends, shape).withColumn("r", rnd("r", 3)), "cell-ends")
+
+    found = ends(table.select(F.col("block").alias("i"), F.col("block").alias("j")))
+    if n_series > block_rows:
+        known = found.agg(F.max("r").alias("most"), F.min("r").alias("least")).first()
+        most, least = (x if x is not None else y for x, y in ((known["most"], -1.0), (known["least"], 1.0)))
+        found = found.union(ends(bounded_cells(table, most, least).where("kept").select("i", "j")))
     key = F.struct("r", "a", "b")
-    ends = pairs.agg(F.max(key).alias("most"), F.min(key).alias("least"))
+    best = found.agg(F.max(key).alias("most"), F.min(key).alias("least"))
     kinds = F.array(
         *[F.struct(F.lit(k).alias("kind"), F.col(k).alias("p")) for k in ("most", "least")]
     )
-    return ends.select(F.explode(kinds).alias("e")).select("e.kind", "e.p.a", "e.p.b", "e.p.r")
+    return best.select(F.explode(kinds).alias("e")).select("e.kind", "e.p.a", "e.p.b", "e.p.r")
 
 
 def anomalies(panel: DataFrame, z: float = 2.5, k: float = 1.5) -> DataFrame:

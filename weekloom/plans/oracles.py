@@ -877,9 +877,17 @@ ab AS (
     min(dist / n) FILTER (own <> other) AS b
   FROM far GROUP BY ALL),
 scores AS (SELECT k, coalesce(avg((b - a) / greatest(a, b, 1e-8)), -1) AS score FROM ab GROUP BY k),
+apart AS (
+  SELECT a.k, a.series, a.c AS own, b.c AS other, sum(pow(array_distance(a.p, b.p), 2)) AS dist, count(*) AS n
+  FROM labels a JOIN labels b ON a.k = b.k GROUP BY ALL),
+sides AS (
+  SELECT k, series, max(CASE WHEN own = other THEN if(n > 1, dist / (n - 1), 0) END) AS a,
+    min(CASE WHEN own <> other THEN dist / n END) AS b
+  FROM apart GROUP BY ALL),
+squared AS (SELECT k, coalesce(avg((b - a) / greatest(a, b, 1e-8)), -1) AS score FROM sides GROUP BY k),
 chosen AS (
   SELECT l.series, l.c::BIGINT AS cluster_id FROM labels l
-  WHERE l.k = (SELECT k FROM scores ORDER BY score DESC, k LIMIT 1)),
+  WHERE l.k = (SELECT k FROM squared ORDER BY score DESC, k LIMIT 1)),
 named AS (
   SELECT cluster_id, ([{', '.join(f"'{n}'" for n in NAMES)}])[row_number() OVER (ORDER BY avg(mean_index) DESC, cluster_id)]
     AS cluster_name
@@ -928,16 +936,7 @@ def _segments() -> dict[str, str]:
         "sg_kmeans": q(km, "SELECT series, k::BIGINT AS k, c::BIGINT AS cluster_id FROM labels"),
         "sg_silhouette": q(km, f"SELECT k::BIGINT AS k, {r('score', 6)} AS score FROM scores"),
         "sg_silhouette_squared": q(
-            km + """,
-apart AS (
-  SELECT a.k, a.series, a.c AS own, b.c AS other, sum(pow(array_distance(a.p, b.p), 2)) AS dist, count(*) AS n
-  FROM labels a JOIN labels b ON a.k = b.k GROUP BY ALL),
-sides AS (
-  SELECT k, series, max(CASE WHEN own = other THEN if(n > 1, dist / (n - 1), 0) END) AS a,
-    min(CASE WHEN own <> other THEN dist / n END) AS b
-  FROM apart GROUP BY ALL)""",
-            f"""SELECT k::BIGINT AS k, {r('coalesce(avg((b - a) / greatest(a, b, 1e-8)), -1)', 6)} AS score
-            FROM sides GROUP BY k""",
+            km, f"SELECT k::BIGINT AS k, {r('score', 6)} AS score FROM squared"
         ),
         "sg_clusters": q(
             km, "SELECT series, cluster_id, cluster_name, mean_index, current_index FROM clustered"
@@ -1080,5 +1079,6 @@ parts AS (
 
 
 def oracle_sql() -> dict[str, str]:
-    pack = _pack()
-    return {**_etl(), **_long_series(), **pack, "report_sql": pack["report_region"], **_stats(), **_forecasts(), **_segments(), **_views()}
+    pack, etl = _pack(), _etl()
+    etl["snk_bucketed_rolling"] = etl["tr_rolling"]
+    return {**etl, **_long_series(), **pack, "report_sql": pack["report_region"], **_stats(), **_forecasts(), **_segments(), **_views()}

@@ -15,7 +15,7 @@ from ..sources import tables
 from ..sources.feed import raw_feed
 from ..sources.readers import load_stats, read_any, read_panel
 from ..sources.scratch import scratch_path, stored
-from ..sources.writers import save_log, save_panel
+from ..sources.writers import save_bucketed, save_log, save_panel
 
 Query = Callable[[SparkSession, str], DataFrame]
 ONE_SERIES = "NATION_7"
@@ -102,6 +102,13 @@ def _panel_reload(s: SparkSession, d: str) -> DataFrame:
     return back.select("series", "week_ending", rnd("idx", 4).alias("idx"))
 
 
+def _bucketed_rolling(s: SparkSession, d: str) -> DataFrame:
+    """Trailing means of a panel stored in buckets, which need no exchange."""
+    path = scratch_path(s, "buckets")
+    panel = save_bucketed(_clean(s, d), path, "panel_" + path[-32:])
+    return transform.rolling(panel, 4, 12).drop("idx")
+
+
 def _log_text(s: SparkSession, d: str) -> DataFrame:
     """Lines of the validation log as written."""
     path = scratch_path(s, "log-text")
@@ -172,7 +179,7 @@ def _silhouette(s: SparkSession, d: str) -> DataFrame:
 
 
 def _clusters(s: SparkSession, d: str) -> DataFrame:
-    return segment.cluster(_norm(s, d))
+    return segment.cluster(_norm(s, d), scores=segment.squared_silhouette)
 
 
 def _forecast_chart(s: SparkSession, d: str) -> DataFrame:
@@ -198,6 +205,7 @@ def queries() -> dict[str, Query]:
         "dq_log": _over(_stored_feed, quality.dq_log),
         # sinks, read again
         "snk_panel_reload": _panel_reload,
+        "snk_bucketed_rolling": _bucketed_rolling,
         "snk_log_text": _log_text,
         "snk_fact_view": _fact_view,
         # cleaning

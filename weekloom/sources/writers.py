@@ -34,6 +34,19 @@ def save_panel(
     out.drop(*drop).write.mode(mode).partitionBy("year").parquet(path)
 
 
+def save_bucketed(df: DataFrame, path: str, table: str, buckets: int | None = None, key: str = "series") -> DataFrame:
+    """Write a panel as an external table in buckets of series, a file each, sorted by series and week, and read it
+    back through the catalog. Windows and aggregates per series, and joins of panels with as many buckets on the
+    series, then need no exchange. The buckets follow the shuffle partitions unless given."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    (
+        df.repartition(n, key).sortWithinPartitions(key, "week_ending")
+        .write.bucketBy(n, key).sortBy(key, "week_ending").option("path", path).format("parquet").saveAsTable(table)
+    )
+    return spark.table(table)
+
+
 def save_lines(df: DataFrame, path: str, order: str = "ord", mode: str = "errorifexists") -> None:
     """Write a ``line`` column as text in ``order``; part files follow the order."""
     df.orderBy(order).select("line").write.mode(mode).text(path)
