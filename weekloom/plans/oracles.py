@@ -313,7 +313,7 @@ def _pack() -> dict[str, str]:
         "q04_mom": q(
             _FACT
             + """,
-monthly AS (SELECT series, year, month, avg(idx) AS m FROM fact GROUP BY ALL),
+monthly AS (SELECT series, year, month, """ + r('avg(idx)', 9) + """ AS m FROM fact GROUP BY ALL),
 steps AS (SELECT *, m - lag(m) OVER (PARTITION BY series ORDER BY year, month) AS d FROM monthly)""",
             f"""SELECT series, year, month, {r('m', 2)} AS monthly_avg, {r('d', 2)} AS mom_change,
               if({r('d', 6)} > 0, 'Improving', 'Declining') AS direction FROM steps""",
