@@ -21,7 +21,6 @@ from ..sources.scratch import stored
 #: Positions in a block; a block of wider frames has four times their width.
 BLOCK = 8192
 _EARLIER = (Window.unboundedPreceding, -1)
-_LATER = (1, Window.unboundedFollowing)
 
 
 def same(names: Sequence[str], prefix: str) -> Column:
@@ -83,9 +82,8 @@ def neighbours(rows: DataFrame, by: Sequence[str], known: Column, pos: str) -> D
     its later blocks. ``known`` is null or a struct that the window between blocks hands on."""
     at = F.when(known.isNotNull(), F.col(pos))
     per = rows.groupBy(*by, "_block").agg(F.max_by(known, at).alias("_last"), F.min_by(known, at).alias("_next"))
-    order = Window.partitionBy(*by).orderBy("_block")
+    left, right = (Window.partitionBy(*by).orderBy(o).rowsBetween(*_EARLIER) for o in ("_block", F.desc("_block")))
     return per.select(
         *[F.col(c).alias(f"_c_{c}") for c in (*by, "_block")],
-        F.last("_last", True).over(order.rowsBetween(*_EARLIER)).alias("_left"),
-        F.first("_next", True).over(order.rowsBetween(*_LATER)).alias("_right"),
+        F.last("_last", True).over(left).alias("_left"), F.last("_next", True).over(right).alias("_right"),
     )

@@ -136,10 +136,11 @@ def interpolate_ranged(
     tell its rows apart). Known neighbours beyond a block are carried from block to block."""
     rows, w = blocks(numbered(df, [by], order, "pos", "interpolate"), [by], "pos")
     known = F.when(F.col(value).isNotNull(), F.struct(F.col("pos").cast("double").alias("x"), F.col(value).alias("v")))
-    near = rows.withColumns({
-        "_p": F.last(known, True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-        "_n": F.first(known, True).over(w.rowsBetween(0, Window.unboundedFollowing)),
-    }).join(neighbours(rows, [by], known, "pos"), same([by, "_block"], "_c_"))
+    # both neighbours come from running frames, one in each direction, so the cost of a block is linear
+    back = Window.partitionBy(by, "_block").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, 0)
+    near = rows.withColumn("_n", F.last(known, True).over(back)).withColumn(
+        "_p", F.last(known, True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    ).join(neighbours(rows, [by], known, "pos"), same([by, "_block"], "_c_"))
     before, after = F.coalesce("_p", "_left"), F.coalesce("_n", "_right")
     share = (F.col("pos").cast("double") - before["x"]) / (after["x"] - before["x"])
     filled = (
