@@ -39,3 +39,27 @@ def rows_read(spark) -> int:
     doubles = sc._gateway.new_array(sc._jvm.double, 0)
     stages = sc._jsc.sc().statusStore().stageList(empty(), False, False, doubles, empty())
     return sum(stages.apply(i).inputRecords() for i in range(stages.size()))
+
+
+def source_rows_read(spark, table: str, since: int = -1) -> tuple[int, int]:
+    """Rows that scans of a source table's files gave to queries after the execution ``since``, and the last execution."""
+    import time
+
+    time.sleep(0.5)
+    store = spark._jsparkSession.sharedState().statusStore()
+    runs, total, last = store.executionsList(), 0, since
+    for i in range(runs.size()):
+        number = runs.apply(i).executionId()
+        if number <= since:
+            continue
+        last, metrics, nodes = max(last, number), store.executionMetrics(number), store.planGraph(number).allNodes()
+        for k in range(nodes.size()):
+            node = nodes.apply(k)
+            if not node.name().startswith("Scan parquet") or f"/{table}.parquet" not in node.desc():
+                continue
+            for m in range(node.metrics().size()):
+                metric = node.metrics().apply(m)
+                value = metrics.get(metric.accumulatorId())
+                if metric.name() == "number of output rows" and value.isDefined():
+                    total += int(value.get().replace(",", ""))
+    return total, last
