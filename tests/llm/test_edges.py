@@ -79,6 +79,34 @@ def test_reused_ids_lose_no_text(spark):
     assert got == {(3, 3), (5, 3), (9, 3), (20, 20), (21, 20), (30, 30), (31, 30), (40, 30)}
 
 
+@pytest.mark.parametrize("ids", ["null", "hot"])
+def test_language_sample_is_bounded(spark, ids):
+    """Thirty thousand texts of one id, a third of them copies: never more than the documented sample."""
+    k = F.col("id")
+    name = F.lit(None).cast("bigint") if ids == "null" else F.lit(7).cast("bigint")
+    text = F.concat(F.lit("the word "), F.when(k % 3 == 0, F.lit("copy")).otherwise(F.concat(F.lit("w"), k.cast("string"))))
+    docs = spark.range(30_000).select(name.alias("doc_id"), text.alias("text"), F.when(k % 2 == 0, "en").otherwise("de").alias("lang"))
+    names, drawn = language.labelled_sample(docs)
+    found = {r.lang: (r.n, r.d) for r in drawn.groupBy("lang").agg(F.count("*").alias("n"), F.countDistinct("text").alias("d")).collect()}
+    assert names == ["de", "en"] and set(found) == {"de", "en"}
+    assert all(600 < n == d <= 800 for n, d in found.values())
+
+
+def test_fences_move_smoothly(spark):
+    """A group that grows from 40 to 60 texts: its fences pass from the wide ones to its own without a jump."""
+    def fence(n: int) -> float:
+        edges = spark.createDataFrame(
+            [(0, "en", "a", n, 10.0, 0.0), (1, "en", None, 500, 1000.0, 0.0), (2, None, None, 900, 2000.0, 0.0)],
+            "level int, lang string, source string, n_texts bigint, hi_x double, lo_x double",
+        )
+        (row,) = quality_rules.group_thresholds(edges).collect()
+        return row.hi_x
+
+    found = [fence(n) for n in (0, 1, 49, 50, 51, 100_000)]
+    assert found == sorted(found, reverse=True) and found[0] > 1000 and found[-1] < 11
+    assert abs(found[2] - found[3]) < 0.02 * found[2] and abs(found[3] - found[4]) < 0.02 * found[3]
+
+
 def test_quality_without_labels(spark):
     docs, _ = odd_documents(spark)
     stats = quality_model.quality_statistics(docs)

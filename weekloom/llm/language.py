@@ -5,7 +5,7 @@ hashed to ``BUCKETS`` buckets per length; a value is the share of the gram in th
 document frequency, so a score needs one table lookup per gram and no vector per text.
 
 Weights are fitted with follow-the-regularised-leader (per-coordinate steps, L1 and L2 penalties) on a
-bounded sample: about ``per_language`` texts of each language, chosen by a hash of the id, so the sample does
+bounded sample: ``per_language`` different texts of each language, chosen by a hash of the text, so the sample does
 not depend on partitioning. Each is used whole and as a short excerpt, so that one-line texts are known too.
 A fifth of the sample is kept from the fit and sets the temperature that calibrates the probabilities.
 
@@ -22,7 +22,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import chunks, code_points, owners, utf8
@@ -164,23 +164,35 @@ def fit_sample(texts: list[str], langs: list[str], epochs: int = 3, seed: int =
     return LanguageModel(names, table, bias, _temperature(logits, labels[test]))
 
 
-def fit_language(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
+def labelled_sample(
+    labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = 800
+) -> tuple[list[str], DataFrame]:
+    """All languages, and ``lang, text, key`` of at most ``per_language`` different texts of each.
+
+    Texts are drawn by their own hash, so rows that repeat a text or an id count once. The share to draw follows the
+    number of different texts, which a sketch counts; those least by hash stay, whatever that number was."""
+    rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
+        "text is not null and lang is not null"
+    ).withColumn("key", F.xxhash64("text"))
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")).collect()
+    share = F.lit(0.0)
+    for r in counts:
+        share = F.when(F.col("lang") == r["lang"], F.lit(1.3 * per_language / r["n"])).otherwise(share)
+    place = F.pmod("key", F.lit(1 << 30)) / float(1 << 30)
+    once = rows.where(place < share).groupBy("lang", "key").agg(F.min("text").alias("text"))
+    number = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("key", F.lit(1 << 30)), "key"))
+    drawn = once.withColumn("number", number).where(F.col("number") <= per_language)
+    return sorted(r["lang"] for r in counts), drawn.select("lang", "text", "key")
+
+
+def fit_language(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
                  per_language: int = 800) -> LanguageModel | None:
     """Model from rows with a text and a language; null if there are none.
 
-    ``per_language`` bounds the sample: a row is in it if the hash of its id falls below
-    ``per_language`` / rows of its language. The fit runs in one task over that sample."""
-    rows = labelled.select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
-    ).where("text is not null and lang is not null")
-    counts = rows.groupBy("lang").count().collect()
-    if not counts:
+    The fit runs in one task over ``labelled_sample``, which ``per_language`` bounds."""
+    languages, drawn = labelled_sample(labelled, text_col, lang_col, per_language)
+    if not languages:
         return None
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], F.lit(per_language / r["count"])).otherwise(share)
-    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
-    languages = sorted(r["lang"] for r in counts)
 
     def fit(batches):
         table = pa.Table.from_batches(list(batches), pa.schema([("lang", pa.string()), ("text", pa.string())]))
@@ -192,7 +204,7 @@ def fit_language(labelled: DataFrame, text_col: str = "text", lang_col: str = "l
             )
 
     found = (
-        rows.where(place < share).select("lang", "text").repartition(1)
+        drawn.repartition(1).sortWithinPartitions("lang", "key").select("lang", "text")
         .mapInArrow(fit, "langs array<string>, weights binary, bias array<double>, temperature double")
         .collect()
     )

@@ -80,9 +80,13 @@ WITH base AS (
   FROM quart
 ), chosen AS (
   SELECT o.lang, o.source, o.ratio,
-    CASE WHEN o.total >= 50 THEN o.hi WHEN l.total >= 50 THEN l.hi ELSE a.hi END AS hi,
-    CASE WHEN o.total >= 50 THEN o.lo WHEN l.total >= 50 THEN l.lo ELSE a.lo END AS lo
-  FROM edge o JOIN edge l ON l.level = 1 AND l.ratio = o.ratio AND l.lang IS NOT DISTINCT FROM o.lang
+    (o.total * o.hi + 50.0::DOUBLE * ((l.total * l.hi + 50.0::DOUBLE * a.hi) / (l.total + 50.0::DOUBLE)))
+      / (o.total + 50.0::DOUBLE) AS hi,
+    (o.total * o.lo + 50.0::DOUBLE * ((l.total * l.lo + 50.0::DOUBLE * a.lo) / (l.total + 50.0::DOUBLE)))
+      / (o.total + 50.0::DOUBLE) AS lo
+  FROM (SELECT * REPLACE (total::DOUBLE AS total, hi::DOUBLE AS hi, lo::DOUBLE AS lo) FROM edge) o
+    JOIN (SELECT * REPLACE (total::DOUBLE AS total, hi::DOUBLE AS hi, lo::DOUBLE AS lo) FROM edge) l
+      ON l.level = 1 AND l.ratio = o.ratio AND l.lang IS NOT DISTINCT FROM o.lang
     JOIN edge a ON a.level = 2 AND a.ratio = o.ratio
   WHERE o.level = 0
 ), bad AS (

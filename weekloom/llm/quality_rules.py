@@ -7,8 +7,9 @@ fails if a ratio lies outside the fences of its own group.
 
 The sketch is a histogram with geometric buckets (a value keeps its seven leading binary digits, so a
 quantile is exact to 1/64 of itself). It merges by adding counts, in any order, with the same result:
-thresholds do not depend on partitioning or retries. A group with fewer than ``min_rows`` texts uses the
-sketch of its language, and below that the sketch of all texts; both are sums of the group sketches.
+thresholds do not depend on partitioning or retries. The fences of a group are drawn towards those of its
+language, and these towards the overall ones, the more so the fewer texts it has; both come from sums of the group
+sketches.
 
 Everything is DataFrame expressions. Defined results: null text counts as empty; null language or source
 is a group of its own; repeated rows are judged one by one; an empty table gives an empty result; columns
@@ -203,23 +204,29 @@ def fences(sketches: DataFrame) -> DataFrame:
     return quart.groupBy("level", "lang", "source").agg(F.max("total").alias("n_texts"), *edges)
 
 
-def group_thresholds(edges: DataFrame, min_rows: int = 50) -> DataFrame:
-    """Fences per (lang, source): the group's own, its language's or the overall ones, by size."""
+def group_thresholds(edges: DataFrame, prior: int = 50) -> DataFrame:
+    """Fences per (lang, source), drawn towards those of the language, and these towards the overall ones.
+
+    A group's own fences weigh as much as it has texts, the wider ones as much as ``prior`` texts. One text more or
+    less moves a fence a little; no number of texts switches a group to other fences."""
     names = [c for c in edges.columns if c[:3] in ("hi_", "lo_")]
-    packed = edges.select("level", "lang", "source", "n_texts", F.struct(*names).alias("f"))
-    own = packed.where("level = 0").select("lang", "source", "n_texts", "f")
+    packed = edges.select("level", "lang", "source", F.col("n_texts").cast("double").alias("n"), F.struct(*names).alias("f"))
+    own = packed.where("level = 0").select("lang", "source", "n", "f")
     by_lang = packed.where("level = 1").select(
-        F.col("lang").alias("l_lang"), F.col("n_texts").alias("l_n"), F.col("f").alias("l_f")
+        F.col("lang").alias("l_lang"), F.col("n").alias("l_n"), F.col("f").alias("l_f")
     )
     overall = packed.where("level = 2").select(F.col("f")).scalar()
-    chosen = F.when(F.col("n_texts") >= min_rows, F.col("f")).when(F.col("l_n") >= min_rows, F.col("l_f"))
-    return own.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang"))).select(
-        F.col("lang").alias("t_lang"), F.col("source").alias("t_source"),
-        F.coalesce(chosen, overall).alias("f"),
-    ).select("t_lang", "t_source", "f.*")
+    weight = F.lit(float(prior))
+    both = own.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang"))).withColumn("a_f", overall)
+
+    def drawn(c: str) -> Column:
+        wide = (F.col("l_n") * F.col(f"l_f.{c}") + weight * F.col(f"a_f.{c}")) / (F.col("l_n") + weight)
+        return ((F.col("n") * F.col(f"f.{c}") + weight * wide) / (F.col("n") + weight)).alias(c)
+
+    return both.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *map(drawn, names))
 
 
-def quality_rules(docs: DataFrame, min_rows: int = 50) -> DataFrame:
+def quality_rules(docs: DataFrame, prior: int = 50) -> DataFrame:
     """Statistics, ``base_failed``, one flag per ratio outside its group's fences, and ``kept``.
 
     The statistics are stored once: the sketches and the filter both read them, the texts are read once.
@@ -227,7 +234,7 @@ def quality_rules(docs: DataFrame, min_rows: int = 50) -> DataFrame:
     texts fail by the base rules alone."""
     rows = stored(with_verdict_inputs(text_statistics(docs)), "quality-rules")
     limits = stored(
-        group_thresholds(fences(group_sketches(rows.where("not base_failed"))), min_rows), "quality-fences"
+        group_thresholds(fences(group_sketches(rows.where("not base_failed"))), prior), "quality-fences"
     )
     outside = {m: F.coalesce(F.col(m) > F.col(f"hi_{m}"), F.lit(False)) for m in UPPER}
     outside |= {
