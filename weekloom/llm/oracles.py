@@ -100,6 +100,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM ppm LEFT JOIN bad USING (r)
 """
 
+OP2 = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS x
+  FROM documents
+), windows AS (
+  SELECT r, i, md5(x[2 * i + 1:2 * i + 400]) AS h
+  FROM (SELECT r, x, unnest(range(0, octet_length(b) - 199)) AS i FROM texts WHERE octet_length(b) >= 200)
+), twice AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY h) AS c FROM windows) WHERE c > 1
+), marked AS (
+  SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 0 ELSE 1 END AS fresh FROM twice
+), spans AS (
+  SELECT r, min(i) AS a, max(i) + 200 AS z
+  FROM (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS s FROM marked) GROUP BY r, s
+), between_spans AS (
+  SELECT r, a, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS f, z FROM spans
+), kept AS (
+  SELECT t.r, string_agg(x[2 * f + 1:2 * a], '' ORDER BY a) || any_value(x)[2 * max(z) + 1:] AS k,
+    count(*) AS n, sum(z - a) AS gone
+  FROM between_spans s JOIN texts t USING (r) GROUP BY t.r
+)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed,
+  coalesce(n, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k, x))) AS kept_sha256
+FROM texts LEFT JOIN kept USING (r)
+"""
+
 
 def similar_sql(width: int, percent: int, last: str) -> str:
     """Components of documents whose word shingle sets reach a Jaccard similarity, by all shared shingles."""
@@ -209,7 +235,7 @@ FROM forms JOIN (SELECT word, arg_max(root, step) AS root FROM chain GROUP BY wo
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op3_chat_format": OP3, "op7_near_duplicates": OP7, "op10_quality_rules": OP10,
+        "op2_repeated_bytes": OP2, "op3_chat_format": OP3, "op7_near_duplicates": OP7, "op10_quality_rules": OP10,
         "op11_jaccard_join": OP11, "op12_collocations": OP12,
         "op13_spelling_variants": OP13,
     }
