@@ -403,3 +403,23 @@ def test_knapsack_equals_enumeration():
         content = table.content(20)
         assert table.best[20] == pytest.approx(best) and sum(content) <= 20
         assert not Counter(content) - Counter(items.tolist())
+
+
+def test_op8_pairs_do_not_depend_on_shards(spark, monkeypatch):
+    """The same pairs and scores for one shard, two and ten, in one pass over the texts, with and without answers."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    items = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").withColumn("answer", F.element_at(F.split("text", " "), -1))
+    n = items.count()
+    for answer in (None, "answer"):
+        found = []
+        for size in (n, -(-n // 2), -(-n // 10)):
+            monkeypatch.setattr(decontaminate, "SHARD_ITEMS", size)
+            leaks = decontaminate.find_leaks(docs, items, answer_col=answer)
+            found.append(sorted((r.doc_id, r.item_id, round(r.score, 9)) for r in leaks.collect()))
+        assert found[0] == found[1] == found[2] and len(found[0]) > 5
+        assert len(decontaminate.item_shards(items)) >= 9
+        kept = decontaminate.without_leaks(docs, items, answer_col=answer).count()
+        assert kept == docs.count() - len({d for d, _, _ in found[0]})
+        monkeypatch.setattr(decontaminate, "PASS_SHARDS", 20)
+        plan = decontaminate.find_leaks(docs, items)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("MapInArrow") == 1

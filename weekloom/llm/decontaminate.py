@@ -15,7 +15,8 @@ A retrieved pair is verified in its passage. Without an answer, a share of the i
 sequences that the passage has too, wherever in the item they are. With an answer (from a column), a share of
 the 3-word sequences of the question, and of those of the answer, must be in the passage.
 
-More items mean more shards: each shard is a bounded index shipped to the workers, and a further pass.
+More items mean more shards, each a bounded index shipped to the workers; one pass searches ``PASS_SHARDS`` of them.
+Item count, document frequencies, mean and largest length are those of all items, whatever the number of shards.
 Defined results: null or empty texts and items match nothing; repeated rows are searched one by one; without
 texts or items the result is empty; columns other than those named are ignored.
 """
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ..sources.scratch import stored
 from .arrays import PUNCTUATION, PrefixHash, chunks, mix, owners, utf8, words
 
 LEAST = 0.6
@@ -39,8 +41,9 @@ BLOCK = 4
 #: The terms of a block that may go unread can add at most this share of the threshold to a score.
 FREE = 0.5
 K1, B = 1.2, 0.75
-#: Bounds of one index shard.
+#: Bounds of one index shard, and shards that one pass over the texts searches.
 SHARD_ITEMS, SHARD_BYTES = 4000, 4 << 20
+PASS_SHARDS = 8
 
 
 def term_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -108,13 +111,26 @@ class Block:
     impacts: np.ndarray
 
 
+@dataclass(frozen=True)
+class Collection:
+    """What scores need to know of all items: their number, mean and largest length, and the document frequency of terms
+    (sorted by hash)."""
+
+    n: int
+    mean: float
+    longest: int
+    terms: np.ndarray
+    df: np.ndarray
+
+
 class ItemIndex:
-    """Inverted index of one shard of items.
+    """Inverted index of one shard of items. ``about`` describes all items; without it the shard is all there are.
 
     An item without an answer is verified as a whole if ``whole`` is set, as the operators do. Else its last third
     takes the place of an answer, and a part under three words is in no passage."""
 
-    def __init__(self, items: list[tuple[object, str, str | None]], least: float = LEAST, whole: bool = False):
+    def __init__(self, items: list[tuple[object, str, str | None]], least: float = LEAST, whole: bool = False,
+                 about: Collection | None = None):
         self.ids = [i for i, _, _ in items]
         self.least = least
         h, at = term_hashes(pa.array([f"{q} {a}" if a else q for _, q, a in items], pa.string()))
@@ -130,13 +146,16 @@ class ItemIndex:
                 self.parts.append((Part.of(own, 2), None))
             else:
                 self.parts.append(tuple(Part(Part.of(x, 3).h, 3) for x in (own[:cut], own[cut:])))
-        self.stride = int(max(16, lengths.max(initial=0)))
+        self.stride = int(max(16, lengths.max(initial=0) if about is None else about.longest))
         self.vocabulary, term = np.unique(h, return_inverse=True)
         pairs, tf = np.unique(owners(at) * max(1, len(self.vocabulary)) + term, return_counts=True)
         item, term = np.divmod(pairs, max(1, len(self.vocabulary)))
         df = np.bincount(term, minlength=len(self.vocabulary))
-        idf = np.log1p((len(items) - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * lengths / max(1e-9, lengths.mean() if len(lengths) else 1))
+        n, mean = len(items), lengths.mean() if len(lengths) else 1
+        if about is not None:
+            n, mean, df = about.n, about.mean, about.df[np.searchsorted(about.terms, self.vocabulary)]
+        idf = np.log1p((n - df + 0.5) / (df + 0.5))
+        norm = K1 * (1 - B + B * lengths / max(1e-9, mean))
         impact = idf[term] * tf * (K1 + 1) / (tf + norm[item])
         self_score = np.bincount(item, impact, len(items))
         impact = impact / self_score[item]
@@ -211,9 +230,26 @@ class ItemIndex:
         return [(*k, *v) for k, v in sorted(found.items())]
 
 
+def _item_terms(rows: DataFrame) -> DataFrame:
+    """``shard, size, terms`` of items ``shard, q, a``: number of words and distinct terms."""
+
+    def run(batches):
+        for batch in batches:
+            texts = [f"{q} {a}" if a else q for q, a in zip(batch.column("q").to_pylist(), batch.column("a").to_pylist(), strict=True)]
+            h, at = term_hashes(pa.array(texts, pa.string()))
+            terms = [np.unique(h[x:y]).view(np.int64) for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("shard"), pa.array(np.diff(at)), pa.array(terms, pa.list_(pa.int64()))],
+                names=["shard", "size", "terms"],
+            )
+
+    return rows.select("shard", "q", "a").mapInArrow(run, "shard int, size bigint, terms array<bigint>")
+
+
 def item_shards(items: DataFrame, id_col: str = "item_id", text_col: str = "text",
                 answer_col: str | None = None) -> list[ItemIndex]:
-    """Indexes of bounded size over all items, ordered by id within a shard."""
+    """Indexes of bounded size over all items, ordered by id within a shard. Scores follow all items, counted by Spark,
+    so they do not depend on the number of shards."""
     answer = F.col(answer_col).cast("string") if answer_col else F.lit(None).cast("string")
     rows = items.select(
         F.col(id_col).alias("i"), F.col(text_col).alias("q"), answer.alias("a")
@@ -222,15 +258,33 @@ def item_shards(items: DataFrame, id_col: str = "item_id", text_col: str = "text
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("q")), F.lit(0)).alias("b")
     ).first()
     shards = max(-(-size["n"] // SHARD_ITEMS), -(-size["b"] // SHARD_BYTES))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("i", "q"), F.lit(max(1, shards))).cast("int"))
+    if shards > 1:
+        per = stored(_item_terms(rows), "item-terms")
+        whole = per.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"), F.max("size").alias("longest")).first()
+        counts = stored(per.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df")), "item-df")
     out = []
     for k in range(shards):
-        part = rows.where(F.pmod(F.xxhash64("i", "q"), F.lit(shards)) == k).collect()
-        if part:
-            rank = lambda x: (x[0] is None, x[0] or 0 if not isinstance(x[0], str) else x[0], x[1])
-            out.append(ItemIndex(sorted(((r["i"], r["q"], r["a"]) for r in part), key=rank), whole=True))
+        part = rows.where(F.col("shard") == k).collect()
+        if not part:
+            continue
+        about = None
+        if shards > 1:
+            own = per.where(F.col("shard") == k).select(F.explode("terms").alias("own")).distinct()
+            known = counts.join(own, F.col("t") == F.col("own"), "left_semi").toArrow()
+            terms = known.column("t").to_numpy().view(np.uint64)
+            order = np.argsort(terms)
+            about = Collection(whole["n"], whole["words"] / whole["n"], whole["longest"], terms[order],
+                               known.column("df").to_numpy()[order])
+        rank = lambda x: (x[0] is None, x[0] or 0 if not isinstance(x[0], str) else x[0], x[1])
+        out.append(ItemIndex(sorted(((r["i"], r["q"], r["a"]) for r in part), key=rank), whole=True, about=about))
     return out
 
 
+def _passes(indexes: list[ItemIndex]) -> list[list[ItemIndex]]:
+    return [indexes[k : k + PASS_SHARDS] for k in range(0, len(indexes), PASS_SHARDS)]
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", answer_col: str | None = None) -> DataFrame:
     """``doc_id, item_id, score, question_overlap, answer_overlap`` of every verified pair. For an item without an
@@ -240,18 +294,19 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, question_overlap double, answer_overlap double"
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("body"))
     found = docs.sparkSession.createDataFrame([], schema)
-    for index in item_shards(items, item_col, item_text_col, answer_col):
+    for indexes in _passes(item_shards(items, item_col, item_text_col, answer_col)):
 
-        def run(batches, index=index):
+        def run(batches, indexes=indexes):
             for part, _, _ in chunks(batches, "body"):
-                hits = index.search(part.column("body"))
-                if hits:
-                    doc = part.column("doc_id").take(pa.array([x[0] for x in hits], pa.int64()))
-                    yield pa.RecordBatch.from_arrays(
-                        [doc, pa.array([index.ids[x[1]] for x in hits], item_type),
-                         *[pa.array([x[k] for x in hits], pa.float64()) for k in (2, 3, 4)]],
-                        names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
-                    )
+                for index in indexes:
+                    hits = index.search(part.column("body"))
+                    if hits:
+                        doc = part.column("doc_id").take(pa.array([x[0] for x in hits], pa.int64()))
+                        yield pa.RecordBatch.from_arrays(
+                            [doc, pa.array([index.ids[x[1]] for x in hits], item_type),
+                             *[pa.array([x[k] for x in hits], pa.float64()) for k in (2, 3, 4)]],
+                            names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
+                        )
 
         found = found.unionByName(narrow.mapInArrow(run, schema))
     return found
@@ -260,11 +315,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 def without_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", answer_col: str | None = None) -> DataFrame:
     """The rows of ``docs`` that hold no test item, unchanged; rows are filtered where they are read."""
-    for index in item_shards(items, item_col, item_text_col, answer_col):
+    for indexes in _passes(item_shards(items, item_col, item_text_col, answer_col)):
 
-        def run(batches, index=index):
+        def run(batches, indexes=indexes):
             for part, _, _ in chunks(batches, text_col):
-                bad = {x[0] for x in index.search(part.column(text_col))}
+                bad = {x[0] for index in indexes for x in index.search(part.column(text_col))}
                 yield part.take(pa.array([i for i in range(part.num_rows) if i not in bad], pa.int64()))
 
         docs = docs.mapInArrow(run, docs.schema)
