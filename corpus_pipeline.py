@@ -23,24 +23,38 @@ LEAST_SURE = 0.5
 ORACLE_SQL = None
 
 
+#: Rows of whole texts that go to a Python worker at once; Spark's default of 10,000 takes some 30 MB, four times over.
+ARROW_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in a known language; others (no letters, unsure) go."""
+    _small_batches(spark)
     return language.in_known_language(docs, language.fit_language(docs), LEAST_SURE)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One text of each group of near duplicates: the one with the least id. An id that stands for several texts
     loses those that stay elsewhere only."""
+    _small_batches(spark)
     return minhash.without_near_duplicates(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
+    _small_batches(spark)
     return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; ``n_chars`` follows the text."""
+    _small_batches(spark)
     masked = pii.masked(docs)
     kind = docs.schema["n_chars"].dataType
     return masked.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
@@ -48,6 +62,7 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with sequence and offset."""
+    _small_batches(spark)
     return packing.pack_documents(docs, bpe_files())
 
 
