@@ -10,6 +10,7 @@ from weekloom.functions import ranges
 from weekloom.operators import clean, stats, transform
 
 from .frames import by, weeks
+from .plans import executed
 
 random.seed(11)
 
@@ -97,6 +98,23 @@ def test_decomposition_equals_the_window(many_ranges, small_blocks):
             assert got[key][c] == pytest.approx(row[c], abs=0.011) if row[c] is not None else got[key][c] is None
 
 
+def test_rows_of_a_task_do_not_follow_the_shuffle_partitions(spark):
+    """Four million rows at eight shuffle partitions: no task of the frames has many times the rows a task should have."""
+    n = 4_000_000
+    df = spark.range(n).select(
+        F.lit("s").alias("series"), F.col("id").alias("at"), F.when(F.col("id") % 5 > 0, F.col("id") % 1000.0).alias("idx")
+    )
+    for got in (clean.interpolate_ranged(df, ["at"]), transform.rolling_ranged(df, ["at"], 4)):
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == n and max(sizes) < 300_000
+
+
+def test_neighbours_of_blocks_are_hashed_not_sorted(spark, small_blocks):
+    """The known values at the ends of blocks come from one pass in memory of one row a block."""
+    df = long_and_short(spark).select("series", F.monotonically_increasing_id().alias("at"), "idx")
+    assert "SortAggregate" not in executed(clean.interpolate_ranged(df, ["at"]))
+
+
 def test_empty_input(spark):
     none = spark.createDataFrame([], "series string, week_ending date, idx double")
     assert transform.rolling_ranged(none, ["week_ending"]).count() == 0

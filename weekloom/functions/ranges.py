@@ -6,10 +6,14 @@ is summed per range and carried from range to range: a table of one row per rang
 
 Frames of neighbouring rows run in blocks of equal numbers of positions; a block also gets copies of the rows
 just outside of it that its frames reach (its halo). Blocks are small and many, so tasks stay even.
+
+Long series compress well, and adaptive execution joins partitions by compressed bytes, so a task could get rows by the
+million. Steps that sort rows or keep frames are therefore dealt to a number of tasks that follows the rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import accumulate
 
@@ -20,6 +24,8 @@ from ..sources.scratch import stored
 
 #: Positions in a block; a block of wider frames has four times their width.
 BLOCK = 8192
+#: Rows of a task that sorts or keeps frames, on average.
+TASK_ROWS = 131_072
 _EARLIER = (Window.unboundedPreceding, -1)
 
 
@@ -31,11 +37,17 @@ def same(names: Sequence[str], prefix: str) -> Column:
     return out
 
 
-def in_ranges(df: DataFrame, keys: Sequence[Column | str], tag: str) -> DataFrame:
-    """``df`` stored in ranges of the keys, with ``_range`` and ``_m``, which counts the rows of a range upwards.
+def task_count(df: DataFrame) -> int:
+    """Tasks of ``TASK_ROWS`` rows that ``df`` makes. It is counted, which for a table of files reads their footers."""
+    return max(1, math.ceil(df.count() / TASK_ROWS))
+
+
+def in_ranges(df: DataFrame, keys: Sequence[Column | str], tag: str, tasks: int | None = None) -> DataFrame:
+    """``df`` stored in ranges of the keys, with ``_range`` and ``_m``, which counts the rows of a range upwards. There
+    are ``tasks`` ranges, or as many as adaptive execution leaves of the shuffle partitions.
 
     It is stored because the limits of the ranges are sampled: a task that runs again must find the same rows."""
-    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = df.repartitionByRange(*([tasks] if tasks else []), *keys).sortWithinPartitions(*keys)
     placed = placed.withColumn("_m", F.monotonically_increasing_id())
     return stored(placed, tag).withColumn("_range", F.shiftright("_m", 33))
 
@@ -55,11 +67,14 @@ def carried(rows: DataFrame, by: Sequence[str], amount: Column) -> DataFrame:
 
 
 def numbered(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], name: str, tag: str = "numbered"
+    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], name: str, tag: str = "numbered",
+    tasks: int | None = None,
 ) -> DataFrame:
     """Add ``name``, the zero-based position of a row in its group by ``order``, which must tell rows apart."""
-    rows = in_ranges(df, [*by, *order], tag)
-    placed = rows.join(carried(rows, by, F.lit(1)), same([*by, "_range"], "_c_"))
+    rows = in_ranges(df, [*by, *order], tag, tasks)
+    before = carried(rows, by, F.lit(1))
+    # stored, its size is known when the join is planned; if that is small, the rows are not shuffled for it
+    placed = rows.join(stored(before, f"{tag}-carried") if by else before, same([*by, "_range"], "_c_"))
     return placed.select(*df.columns, (F.col("_m") - F.col("_first") + F.col("_before")).cast("bigint").alias(name))
 
 
@@ -77,13 +92,23 @@ def blocks(df: DataFrame, by: Sequence[str], pos: str, back: int = 0, ahead: int
     return own, Window.partitionBy(*by, "_block").orderBy(pos)
 
 
-def neighbours(rows: DataFrame, by: Sequence[str], known: Column, pos: str) -> DataFrame:
-    """``_c_<by>, _c__block, _left, _right``: the last known value of the group's earlier blocks and the first one of
-    its later blocks. ``known`` is null or a struct that the window between blocks hands on."""
-    at = F.when(known.isNotNull(), F.col(pos))
-    per = rows.groupBy(*by, "_block").agg(F.max_by(known, at).alias("_last"), F.min_by(known, at).alias("_next"))
-    left, right = (Window.partitionBy(*by).orderBy(o).rowsBetween(*_EARLIER) for o in ("_block", F.desc("_block")))
-    return per.select(
-        *[F.col(c).alias(f"_c_{c}") for c in (*by, "_block")],
-        F.last("_last", True).over(left).alias("_left"), F.last("_next", True).over(right).alias("_right"),
+def spread(rows: DataFrame, by: Sequence[str], tasks: int) -> DataFrame:
+    """Rows with a ``_block`` dealt to ``tasks`` tasks, whole blocks each, for the windows of blocks."""
+    return rows.repartition(tasks, *by, "_block")
+
+
+def neighbours(rows: DataFrame, by: Sequence[str], value: str, pos: str) -> DataFrame:
+    """Two rows at most to add to each block, not its own: the last known value of the group's earlier blocks and the
+    first one of its later blocks, at their places. Frames of the block then see what lies beyond it."""
+    at = F.when(F.col(value).isNotNull(), F.col(pos))
+    # extremes of plain numbers are hashed; those of structs would sort all rows
+    per = rows.groupBy(*by, "_block").agg(
+        F.max(at).alias("_x1"), F.max_by(value, at).alias("_v1"), F.min(at).alias("_x0"), F.min_by(value, at).alias("_v0")
     )
+    last, first = (
+        F.when(F.col(f"_x{k}").isNotNull(), F.struct(F.col(f"_x{k}").alias(pos), F.col(f"_v{k}").alias(value))) for k in (1, 0)
+    )
+    left, right = (Window.partitionBy(*by).orderBy(o).rowsBetween(*_EARLIER) for o in ("_block", F.desc("_block")))
+    ends = per.select(*by, "_block", F.array(F.last(last, True).over(left), F.last(first, True).over(right)).alias("_ends"))
+    each = ends.select(*by, "_block", F.explode("_ends").alias("_end")).where(F.col("_end").isNotNull())
+    return each.select(*by, "_block", F.lit(False).alias("_own"), f"_end.{pos}", f"_end.{value}")

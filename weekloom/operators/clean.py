@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranges import blocks, neighbours, numbered, same
+from ..functions.ranges import blocks, neighbours, numbered, spread, task_count
 from ..sources.feed import SERIAL_ORIGIN
 from ..sources.scratch import stored
 from ..sources.tables import week_bounds
@@ -133,15 +133,18 @@ def interpolate_ranged(
     df: DataFrame, order: Sequence[str], by: str = "series", value: str = "idx", out: str = "idx_filled"
 ) -> DataFrame:
     """``interpolate`` for series of any length; ``pos`` is added, the place in the series by ``order`` (which must
-    tell its rows apart). Known neighbours beyond a block are carried from block to block."""
-    rows, w = blocks(numbered(df, [by], order, "pos", "interpolate"), [by], "pos")
+    tell its rows apart). Known neighbours beyond a block are added to it as rows."""
+    tasks = task_count(df)
+    rows, w = blocks(numbered(df, [by], order, "pos", "interpolate", tasks), [by], "pos")
+    beyond = neighbours(rows, [by], value, "pos")
+    dealt = spread(rows.unionByName(beyond, allowMissingColumns=True), [by], tasks)
     known = F.when(F.col(value).isNotNull(), F.struct(F.col("pos").cast("double").alias("x"), F.col(value).alias("v")))
     # both neighbours come from running frames, one in each direction, so the cost of a block is linear
     back = Window.partitionBy(by, "_block").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, 0)
-    near = rows.withColumn("_n", F.last(known, True).over(back)).withColumn(
+    near = dealt.withColumn("_n", F.last(known, True).over(back)).withColumn(
         "_p", F.last(known, True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ).join(neighbours(rows, [by], known, "pos"), same([by, "_block"], "_c_"))
-    before, after = F.coalesce("_p", "_left"), F.coalesce("_n", "_right")
+    ).where("_own")
+    before, after = F.col("_p"), F.col("_n")
     share = (F.col("pos").cast("double") - before["x"]) / (after["x"] - before["x"])
     filled = (
         F.when(F.col(value).isNotNull(), F.col(value)).when(before.isNull(), after["v"])

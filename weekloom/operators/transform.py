@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import calendar
 from ..functions.labels import labels
 from ..functions.numeric import by_week, rnd
-from ..functions.ranges import blocks, numbered
+from ..functions.ranges import blocks, numbered, spread, task_count
 from ..sources.tables import TOTAL
 
 BASELINE = 100.0
@@ -39,9 +39,10 @@ def rolling_ranged(df: DataFrame, order: Sequence[str], *rows: int, by: str = "s
 
     Places come from a range exchange, frames run in blocks with a halo; the numbers are those of one window."""
     rows = rows or (4, 12)
-    placed, w = blocks(numbered(df, [by], order, "pos", "rolling"), [by], "pos", back=max(rows) - 1)
+    tasks = task_count(df)
+    placed, w = blocks(numbered(df, [by], order, "pos", "rolling", tasks), [by], "pos", back=max(rows) - 1)
     means = {f"rolling_{n}": F.avg(value).over(w.rowsBetween(1 - n, 0)) for n in rows}
-    done = placed.withColumns(means).where("_own").drop("_own", "_block")
+    done = spread(placed, [by], tasks).withColumns(means).where("_own").drop("_own", "_block")
     return done.withColumns({name: rnd(name, 2) for name in means})
 
 
