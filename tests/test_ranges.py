@@ -1,6 +1,7 @@
 """Series of any length: range exchange, carried sums, blocks with halos."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -115,6 +116,28 @@ def test_neighbours_of_blocks_are_hashed_not_sorted(spark, small_blocks):
     assert "SortAggregate" not in executed(clean.interpolate_ranged(df, ["at"]))
 
 
+def test_decomposition_joins_nothing_on_the_series_alone(spark, monkeypatch):
+    """Such a join puts a whole series into one task, as its length did."""
+    plans = []
+    monkeypatch.setattr(stats, "stored", lambda df, tag: plans.append(executed(df)) or ranges.stored(df, tag))
+    df = long_and_short(spark)
+    plans.append(executed(stats.decompose_ranged(df, ["week_ending"])))
+    keys = [k for plan in plans for k in re.findall(r"Join \[([^\]]*)\]", plan)]
+    assert len(plans) == 2 and keys and all("_range" in k for k in keys)
+
+
+def test_lengths_around_the_window(spark, small_blocks):
+    """Series of just under, at and over the window, and of a block, decompose as in one window."""
+    sizes = (1, 2, 3, 50, 51, 52, 53, 203, 204, 205, 256, 410)
+    rows = [(f"s{n}", week, random.gauss(100, 15)) for n in sizes for week in weeks("2001-01-07", n)]
+    df = spark.createDataFrame(rows, "series string, week_ending date, idx double")
+    want = by(stats.decompose(df), "series", "week_ending")
+    got = by(stats.decompose_ranged(df, ["week_ending"]), "series", "week_ending")
+    assert got.keys() == want.keys()
+    for key, row in want.items():
+        assert all(got[key][c] == pytest.approx(row[c], abs=0.011) for c in ("observed", "trend", "seasonal", "residual"))
+
+
 def test_empty_input(spark):
     none = spark.createDataFrame([], "series string, week_ending date, idx double")
     assert transform.rolling_ranged(none, ["week_ending"]).count() == 0

@@ -16,7 +16,7 @@ from ..functions.blocks import BLOCK_ROWS, grid
 from ..functions.calendar import calendar
 from ..functions.numeric import by_week, position, rnd
 from ..functions.quantiles import exact_quantiles
-from ..functions.ranges import blocks, numbered
+from ..functions.ranges import blocks, numbered, spread, task_count
 from ..functions.ranking import with_position
 from ..functions.student import t_two_sided
 from ..sources.scratch import stored
@@ -207,25 +207,31 @@ def _components(panel: DataFrame, window: int, short: int) -> DataFrame:
 
 def decompose_ranged(rows: DataFrame, order: Sequence[str], window: int = 52, short: int = 13) -> DataFrame:
     """``decompose`` for series of any length, with ``pos``, the place in the series by ``order`` (which must tell its
-    rows apart). The trend runs in blocks with a halo; the mean per ISO week is an aggregate of one row a week
-    number, joined back, so no series and no week number is a task of its own."""
-    placed = numbered(calendar(rows), ["series"], order, "pos", "decompose").select(
+    rows apart). The trend runs in blocks with a halo. The mean per ISO week comes from sums per block and week number,
+    and each block gets its means as rows, so no series and no week number is a task of its own."""
+    tasks = task_count(rows)
+    placed = numbered(calendar(rows), ["series"], order, "pos", "decompose", tasks).select(
         "series", "week_ending", "week_number", "idx", "pos"
     )
-    length = placed.groupBy(F.col("series").alias("_s")).agg(F.max("pos").alias("_top"))
-    sized = placed.join(length, F.col("series").eqNullSafe(F.col("_s"))).withColumn("n", F.col("_top") + 1)
     before, after = _centred(window)
-    dealt, w = blocks(sized, ["series"], "pos", back=before, ahead=max(after, short // 2))
+    dealt, w = blocks(placed, ["series"], "pos", back=before, ahead=max(after, short // 2))
+    # a block has four times the places of a frame: a series shorter than the window is whole in its first block, and
+    # the block of a longer one reaches a place beyond the window
+    length = F.max("pos").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) + 1
+    sized = spread(dealt, ["series"], tasks).withColumn("n", length)
     trended = stored(
-        _with_trend(dealt, w, window, short).where("_own").select("series", "week_ending", "week_number", "idx", "pos", "trend"),
+        _with_trend(sized, w, window, short).where("_own")
+        .select("series", "week_ending", "week_number", "idx", "pos", "trend", "_block", "_own"),
         "decompose",
     )
-    weekly = trended.groupBy(F.col("series").alias("_s"), F.col("week_number").alias("_w")).agg(
-        F.avg(F.col("idx") - F.col("trend")).alias("seasonal")
-    )
-    both = F.col("series").eqNullSafe(F.col("_s")) & F.col("week_number").eqNullSafe(F.col("_w"))
+    week, off = ["series", "week_number"], F.col("idx") - F.col("trend")
+    sums = trended.groupBy(*week, "_block").agg(F.sum(off).alias("_sum"), F.count(off).alias("_n"))
+    total, n = (F.sum(c).over(Window.partitionBy(*week)) for c in ("_sum", "_n"))
+    means = sums.select(*week, "_block", F.lit(False).alias("_own"), (total / F.nullif(n, F.lit(0))).alias("_mean"))
+    seasonal = F.max("_mean").over(Window.partitionBy("series", "_block", "week_number"))
+    both = spread(trended.unionByName(means, allowMissingColumns=True), ["series"], tasks)
     c = F.col
-    return trended.join(weekly, both).select(
+    return both.withColumn("seasonal", seasonal).where("_own").select(
         "series", "pos", "week_ending", rnd("idx", 4).alias("observed"), rnd("trend", 2).alias("trend"),
         rnd("seasonal", 2).alias("seasonal"), rnd(c("idx") - c("trend") - c("seasonal"), 2).alias("residual"),
     )
